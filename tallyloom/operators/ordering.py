@@ -100,9 +100,14 @@ def running(
     carry: Mapping[str, str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     size: Size | None = None,
+    bound: int | None = None,
 ) -> DataFrame:
     """Add running columns per group.
 
+    The size check is one narrow aggregate job. It is left out when the caller
+    passes the ``size`` or a proven ``bound`` on the rows of any group. Persist
+    an input that is expensive to compute, since it is read more than once.
+
     ``order`` is ascending with missing values first (pass ``-col`` for
     descending numbers) and should be unique within the group; equal rows are
     taken in an arbitrary order.
@@ -117,6 +122,8 @@ def running(
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     names = [f"__o{i}" for i in range(len(order_cols))]
     keyed = df.withColumns({n: _sortable(df, c) for n, c in zip(names, order_cols)})
+    if bound is not None and bound <= rows_per_task:
+        size = Size(bound, bound)
     size = size or measure(df, by)
     if size.largest_group <= rows_per_task:
         return _local(keyed, by, names, row_number, cumsum, previous, carry).drop(*names)
