@@ -62,6 +62,15 @@ def pr_points(thresholds: DataFrame) -> DataFrame:
     return thresholds.select(BY, "threshold", "recall", "precision")
 
 
+def _area_aggregates() -> dict[str, Column]:
+    p_all, n_all = F.col("tps") + F.col("fns"), F.col("fps") + F.col("tns")
+    pairs = F.sum(F.col("neg_here") * (F.col("tps") - F.col("pos_here") / 2))
+    before_t, before_f = F.col("tps") - F.col("pos_here"), F.col("fps") - F.col("neg_here")
+    before = F.coalesce(F.try_divide(before_t, before_t + before_f), F.col("precision"))
+    step = F.try_divide(F.col("pos_here"), p_all) * (F.col("precision") + before) / 2
+    return {"auc": F.try_divide(pairs, F.max(p_all).cast("double") * F.max(n_all)), "aucpr": F.sum(step)}
+
+
 def areas(thresholds: DataFrame) -> DataFrame:
     """Exact AUC, Gini and the area under precision-recall per model.
 
@@ -70,14 +79,7 @@ def areas(thresholds: DataFrame) -> DataFrame:
     between neighbouring thresholds, starting at recall 0 with the precision of
     the first one.
     """
-    p_all, n_all = F.col("tps") + F.col("fns"), F.col("fps") + F.col("tns")
-    pairs = F.sum(F.col("neg_here") * (F.col("tps") - F.col("pos_here") / 2))
-    before_t, before_f = F.col("tps") - F.col("pos_here"), F.col("fps") - F.col("neg_here")
-    before = F.coalesce(F.try_divide(before_t, before_t + before_f), F.col("precision"))
-    step = F.try_divide(F.col("pos_here"), p_all) * (F.col("precision") + before) / 2
-    out = thresholds.groupBy(BY).agg(
-        F.try_divide(pairs, F.max(p_all).cast("double") * F.max(n_all)).alias("auc"), F.sum(step).alias("aucpr")
-    )
+    out = thresholds.groupBy(BY).agg(*[c.alias(n) for n, c in _area_aggregates().items()])
     return out.select(BY, "auc", (2 * F.col("auc") - 1).alias("gini"), "aucpr")
 
 
@@ -124,16 +126,28 @@ def confusion(best: DataFrame) -> DataFrame:
 
 
 def leaderboard(scored: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """One row per model: auc, logloss, aucpr, mean_per_class_error, rmse, mse; best auc first."""
-    thresholds = threshold_table(scored, rows_per_task)
-    best = best_threshold(thresholds)
-    miss = F.try_divide(F.col("fns"), F.col("fns") + F.col("tps"))
-    alarm = F.try_divide(F.col("fps"), F.col("fps") + F.col("tns"))
-    errors = best.select(BY, ((miss + alarm) / 2).alias("mean_per_class_error"))
-    table = areas(thresholds).join(probability_metrics(scored), BY).join(errors, BY)
-    return table.select(BY, "auc", "logloss", "aucpr", "mean_per_class_error", "rmse", "mse").orderBy(
-        F.desc("auc"), BY
+    """One row per model: auc, logloss, aucpr, mean_per_class_error, rmse, mse; best auc first.
+
+    All six metrics are sums over distinct scores, so they come from a single
+    aggregate of the threshold table.
+    """
+    score, pos, neg = F.col("threshold"), F.col("pos_here"), F.col("neg_here")
+    here = pos + neg
+    loss = pos * log_loss(F.lit(1), score) + neg * log_loss(F.lit(0), score)
+    square = pos * (1 - score) * (1 - score) + neg * score * score
+    best = F.max_by(F.struct("tps", "fps", "tns", "fns"), F.struct("f1", "threshold"))
+    table = threshold_table(scored, rows_per_task).groupBy(BY).agg(
+        *[c.alias(n) for n, c in _area_aggregates().items()],
+        F.try_divide(F.sum(loss), F.sum(here)).alias("logloss"),
+        F.try_divide(F.sum(square), F.sum(here)).alias("mse"),
+        best.alias("b"),
     )
+    miss = F.try_divide(F.col("b.fns"), F.col("b.fns") + F.col("b.tps"))
+    alarm = F.try_divide(F.col("b.fps"), F.col("b.fps") + F.col("b.tns"))
+    return table.select(
+        BY, "auc", "logloss", "aucpr", ((miss + alarm) / 2).alias("mean_per_class_error"),
+        F.sqrt("mse").alias("rmse"), "mse",
+    ).orderBy(F.desc("auc"), BY)
 
 
 def with_label(scored: DataFrame, best: DataFrame, no: str = "No", yes: str = "Yes") -> DataFrame:

@@ -57,10 +57,12 @@ def performance_charts(scored: DataFrame, order_by="auc", max_models: int = 3) -
     chosen = _order(order_by)
     board = ranked_board(leaderboard(scored)).filter(F.col("rank") <= max_models)
     by = -F.col("auc") if chosen == "auc" else F.col("logloss")
-    legend = running(board, [], [by, BY], row_number="legend", bound=max_models).select(
+    numbered = running(board, [], [by, BY], row_number="legend", bound=max_models).select(
         BY, "legend", F.bround("auc", 3).alias("auc"), F.bround("logloss", 4).alias("logloss")
     )
-    best = scored.join(legend.select(BY), BY, "left_semi")
+    lines_of_legend = numbered.collect()  # at most max_models rows
+    legend = F.broadcast(scored.sparkSession.createDataFrame(lines_of_legend, numbered.schema))
+    best = scored.filter(F.col(BY).isin([r[BY] for r in lines_of_legend]))
     thresholds = threshold_table(best)
     lines = fine_gain_lift(best)
     base = ["group", "cumulative_data_fraction"]

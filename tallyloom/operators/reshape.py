@@ -40,9 +40,10 @@ def lengthen(
     return df.select(*ids, F.inline(F.array(*cells)))
 
 
-def nested(df: DataFrame, by: Sequence[str], names: Sequence[str], out: str = "rows") -> DataFrame:
-    """Rows of a group as one array of structs (for groups of known small size)."""
-    return df.groupBy(*by).agg(F.collect_list(F.struct(*names)).alias(out))
+def nest(df: DataFrame, ids: Sequence[str], cells: dict[str, str], key: str, value: str, out: str) -> DataFrame:
+    """Several columns of a row as one nested table of ``(key, value)`` rows."""
+    packed = [F.struct(F.lit(k).alias(key), F.col(c).cast("double").alias(value)) for k, c in cells.items()]
+    return df.select(*ids, F.array(*packed).alias(out))
 
 
 def unnest(df: DataFrame, name: str) -> DataFrame:

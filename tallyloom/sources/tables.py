@@ -65,6 +65,11 @@ def even_sequence(spark: SparkSession, start: float, stop: float, length: int, n
     return spark.range(length).select((F.lit(float(start)) + F.col("id") * F.lit(step)).alias(name))
 
 
+def expand_steps(start: float, stop: float, length: int) -> list[float]:
+    """Evenly spaced numbers for a short parameter list."""
+    return [start + i * ((stop - start) / (length - 1)) for i in range(length)]
+
+
 def uniform_table(spark: SparkSession, n: int, ranges: Mapping[str, tuple[float, float]], seed: int) -> DataFrame:
     """``n`` rows of independent uniform columns.
 
