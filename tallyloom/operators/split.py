@@ -15,16 +15,35 @@ from pyspark.sql import functions as F
 from .keys import attach
 from .ordering import ROWS_PER_TASK, running
 
-# Multiplier and modulus of the multiplicative key hash.
-_MULTIPLIER = 2654435761
+# Multiplier and modulus of a 32-bit integer mixing hash, and the step between salts.
+_MULTIPLIER = 73244475
 _MODULUS = 4294967296
-_KEY_LIMIT = 2147483648
+_SALT_STEP = 1000003
+
+
+def _mixed(h: Column) -> Column:
+    return F.pmod(h.bitwiseXOR(F.shiftright(h, 16)) * F.lit(_MULTIPLIER), F.lit(_MODULUS))
 
 
 def draw(key: Column, salt: int = 0) -> Column:
-    """Number in [0, 1) from an integer key."""
-    small = F.pmod(key.cast("long") + F.lit(salt * 97531), F.lit(_KEY_LIMIT))
-    return F.pmod(small * F.lit(_MULTIPLIER), F.lit(_MODULUS)) / F.lit(float(_MODULUS))
+    """Number in [0, 1) from an integer key; different salts give unrelated numbers.
+
+    Two rounds of xor-shift and multiplication: plain multiplication would make
+    the draws of two salts differ by a constant, and a second split would then
+    depend on the first.
+    """
+    key = key.cast("long")
+    h = F.pmod(key.bitwiseXOR(F.shiftright(key, 32)), F.lit(_MODULUS)) + F.lit(salt * _SALT_STEP)
+    h = _mixed(_mixed(F.pmod(h, F.lit(_MODULUS))))
+    return h.bitwiseXOR(F.shiftright(h, 16)) / F.lit(float(_MODULUS))
+
+
+def draw_sql(key: str, salt: int = 0) -> str:
+    """The same draw in SQL with ``xor`` and ``>>``."""
+    h = f"((xor({key}, {key} >> 32) % {_MODULUS} + {salt * _SALT_STEP}) % {_MODULUS})"
+    for _ in range(2):
+        h = f"((xor({h}, {h} >> 16) * {_MULTIPLIER}) % {_MODULUS})"
+    return f"CAST(xor({h}, {h} >> 16) / {_MODULUS}.0 AS DOUBLE)"
 
 
 def split(df: DataFrame, key: str, prop: float, salt: int = 0, name: str = "split", parts=("train", "test")) -> DataFrame:

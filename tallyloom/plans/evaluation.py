@@ -130,14 +130,13 @@ def ranked_predictions(t: Tables):
     return evaluate.ranked(scored(t))
 
 
-@query(
-    SCORED.replace(
-        "SELECT 'LEN_1' AS model_id, doc_id AS row_id",
-        "SELECT CASE WHEN CAST(((doc_id % 2147483648) * 2654435761 % 4294967296) / 4294967296.0 AS DOUBLE) < 0.7 "
-        "THEN 'train' ELSE 'valid' END AS model_id, doc_id AS row_id",
-    )
-    + "SELECT model_id AS split, round(auc, 8) AS auc FROM roc WHERE model_id IN ('train', 'valid')"
+_SPLIT_SCORED = SCORED.replace(
+    "SELECT 'LEN_1' AS model_id, doc_id AS row_id",
+    f"SELECT CASE WHEN {split.draw_sql('doc_id')} < 0.7 THEN 'train' ELSE 'valid' END AS model_id, doc_id AS row_id",
 )
+
+
+@query(_SPLIT_SCORED + "SELECT model_id AS split, round(auc, 8) AS auc FROM roc WHERE model_id IN ('train', 'valid')")
 def auc_by_split(t: Tables):
     first = scored(t).filter(F.col("model_id") == "LEN_1").drop("model_id")
     parts = split.split(first, "row_id", 0.7, name="model_id", parts=("train", "valid"))

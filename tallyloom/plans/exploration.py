@@ -351,13 +351,9 @@ def holiday_flags(t: Tables):
     return t.orders.select("o_orderkey", *[c.alias(n) for n, c in found.items()])
 
 
-_DRAW = "((({k} % 2147483648) * 2654435761) % 4294967296) / 4294967296.0"
-
-
 @query(
     f"""
-WITH d AS (SELECT o_orderkey, CAST({_DRAW.format(k='o_orderkey')} AS DOUBLE) AS a,
-                  CAST({_DRAW.format(k='(o_orderkey + 97531)')} AS DOUBLE) AS b FROM orders)
+WITH d AS (SELECT o_orderkey, {split.draw_sql('o_orderkey')} AS a, {split.draw_sql('o_orderkey', 1)} AS b FROM orders)
 SELECT o_orderkey, CASE WHEN a < 0.85 THEN 'train' ELSE 'test' END AS split,
        CASE WHEN a < 0.85 THEN CASE WHEN b < 0.8 THEN 'train' ELSE 'valid' END END AS second_split FROM d"""
 )
@@ -369,7 +365,7 @@ def hash_split(t: Tables):
 
 @query(
     f"""
-WITH d AS (SELECT c_custkey, c_mktsegment, CAST({_DRAW.format(k='c_custkey')} AS DOUBLE) AS a FROM customer),
+WITH d AS (SELECT c_custkey, c_mktsegment, {split.draw_sql('c_custkey')} AS a FROM customer),
 p AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY a, c_custkey) AS pos,
              count(*) OVER (PARTITION BY c_mktsegment) AS n FROM d)
 SELECT c_custkey, c_mktsegment, CASE WHEN pos <= floor(n * 0.75) THEN 'train' ELSE 'test' END AS split FROM p"""
@@ -386,7 +382,7 @@ def strata_coverage(t: Tables):
 
 @query(
     f"""
-SELECT CAST(floor(CAST({_DRAW.format(k='o_orderkey')} AS DOUBLE) * 5) AS INTEGER) AS fold, CAST(count(*) AS BIGINT) AS n
+SELECT CAST(floor({split.draw_sql('o_orderkey')} * 5) AS INTEGER) AS fold, CAST(count(*) AS BIGINT) AS n
 FROM orders GROUP BY 1"""
 )
 def fold_counts(t: Tables):

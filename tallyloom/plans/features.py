@@ -32,9 +32,7 @@ def zero_variance(t: Tables):
     return _base(t).drop_constant().fit(_train(df)).bake(df)
 
 
-_TRAIN = (
-    "(SELECT * FROM orders WHERE CAST(((o_orderkey % 2147483648) * 2654435761 % 4294967296) / 4294967296.0 AS DOUBLE) < 0.85)"
-)
+_TRAIN = f"(SELECT * FROM orders WHERE {split.draw_sql('o_orderkey')} < 0.85)"
 
 
 @query(
