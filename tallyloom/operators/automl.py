@@ -10,7 +10,9 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -21,7 +23,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +92,7 @@ def _boosted(model_id: str, label: str, rounds: int, seed: int) -> Candidate:
 
 def prepare(train: DataFrame, features: Sequence[str]) -> PipelineModel:
     """Assemble and scale; learned on training rows."""
-    raw = VectorAssembler(inputCols=list(features), outputCol="__raw", handleInvalid="skip")
+    raw = VectorAssembler(inputCols=list(features), outputCol="__raw", handleInvalid="error")
     scaler = StandardScaler(inputCol="__raw", outputCol="features", withMean=True)
     return PipelineModel([raw, scaler.fit(raw.transform(train))])
 
@@ -104,7 +106,7 @@ def search(
     budget_seconds: float | None = None,
     wanted: Sequence[Candidate] | None = None,
     stack: bool = True,
-    parallel: int = 2,
+    parallel: int = 6,
 ) -> Search:
     """Fit every candidate with cross-validation, then a stacked model over all of them.
 
@@ -113,7 +115,7 @@ def search(
     is always fitted.
     """
     stages = prepare(train, features)
-    data = with_folds(stages.transform(train), key, folds, salt=FOLD_SALT, name=FOLD).select(key, "features", label, FOLD).persist()
+    data = _folded(stages.transform(train), key, folds).select(key, "features", label, FOLD).persist()
     start, result, parts = time.time(), Search({}, []), {}
     try:
         for c in wanted if wanted is not None else candidates(len(features), label):
@@ -121,10 +123,10 @@ def search(
                 result.skipped.append(c.model_id)
                 continue
             began = time.time()
-            fitted = _cross_validator(c, ParamGridBuilder().build(), label, folds, parallel).fit(data)
-            result.models[c.model_id] = PipelineModel([*stages.stages, fitted.bestModel])
-            result.cross_validation.append((c.model_id, float(fitted.avgMetrics[0]), time.time() - began))
-            parts[c.model_id] = [models[0] for models in fitted.subModels]
+            whole, held, auc = _cross_validate(data, [(c, {})], label, folds, parallel)[0]
+            result.models[c.model_id] = PipelineModel([*stages.stages, whole])
+            result.cross_validation.append((c.model_id, auc, time.time() - began))
+            parts[c.model_id] = held
         if stack and len(parts) > 1:
             began = time.time()
             meta, auc = _stack(data, parts, label, folds)
@@ -136,15 +138,47 @@ def search(
     return result
 
 
+def fit_one(train: DataFrame, features: Sequence[str], wanted: Candidate) -> PipelineModel:
+    """One candidate on all training rows, without cross-validation."""
+    stages = prepare(train, features)
+    return PipelineModel([*stages.stages, wanted.estimator.fit(stages.transform(train))])
+
+
+def _folded(df: DataFrame, key: str, folds: int) -> DataFrame:
+    return with_folds(df, key, folds, salt=FOLD_SALT, name=FOLD)
+
+
 STACKED = "StackedEnsemble_AllModels"
 
 
-def _cross_validator(c: Candidate, grid, label: str, folds: int, parallel: int) -> CrossValidator:
-    judge = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=columns_of(c.model_id)["rawPredictionCol"])
-    return CrossValidator(
-        estimator=c.estimator, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, foldCol=FOLD,
-        parallelism=parallel, collectSubModels=True,
-    )
+def _cross_validate(
+    data: DataFrame, settings: Sequence[tuple[Candidate, dict]], label: str, folds: int, parallel: int, whole: bool = True
+) -> list[tuple]:
+    """``(model on all rows, models per held-out fold, mean AUC)`` for every setting.
+
+    All fits are independent jobs; a few are submitted at the same time, so the
+    executors stay busy while single fits wait for their slowest task.
+    """
+    jobs = [(i, f) for i in range(len(settings)) for f in [*([None] if whole else []), *range(folds)]]
+
+    def fit(job):
+        i, f = job
+        c, params = settings[i]
+        rows = data if f is None else data.filter(F.col(FOLD) != f)
+        model = c.estimator.fit(rows, params) if params else c.estimator.fit(rows)
+        if f is None:
+            return i, f, model, None
+        judge = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=columns_of(c.model_id)["rawPredictionCol"])
+        return i, f, model, judge.evaluate(model.transform(data.filter(F.col(FOLD) == f)))
+
+    with ThreadPool(max(1, min(parallel, len(jobs)))) as pool:
+        done = pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs, chunksize=1)
+    out = []
+    for i in range(len(settings)):
+        mine = {f: (model, auc) for j, f, model, auc in done if j == i}
+        held = [mine[f][0] for f in range(folds)]
+        out.append((mine[None][0] if whole else None, held, sum(mine[f][1] for f in range(folds)) / folds))
+    return out
 
 
 def _stack(data: DataFrame, parts: dict[str, list], label: str, folds: int) -> tuple[PipelineModel, float]:
@@ -199,26 +233,23 @@ def board(found: Search, frame: DataFrame, key: str, label: str) -> DataFrame:
 
 def network_grid(
     train: DataFrame, key: str, features: Sequence[str], label: str, hidden: Sequence[Sequence[int]],
-    epochs: Sequence[int], folds: int = 5, parallel: int = 2,
+    epochs: Sequence[int], folds: int = 5, parallel: int = 6,
 ) -> tuple[PipelineModel, list[tuple[str, int, float]]]:
     """Network size x epochs, cross-validated. Returns the best model and the sorted grid."""
     stages = prepare(train, features)
-    data = with_folds(stages.transform(train), key, folds, salt=FOLD_SALT, name=FOLD).select("features", label, FOLD).persist()
+    data = _folded(stages.transform(train), key, folds).select("features", label, FOLD).persist()
     base = network("DeepLearning_grid", len(features), label)
     sizes = [[len(features), *h, 2] for h in hidden]
-    grid = (
-        ParamGridBuilder()
-        .addGrid(base.estimator.layers, sizes)
-        .addGrid(base.estimator.maxIter, list(epochs))
-        .build()
-    )
+    layers, rounds = base.estimator.layers, base.estimator.maxIter
+    grid = ParamGridBuilder().addGrid(layers, sizes).addGrid(rounds, list(epochs)).build()
     try:
-        judge = _cross_validator(base, grid, label, folds, parallel)
-        fitted = judge.setCollectSubModels(False).fit(data)
+        found = _cross_validate(data, [(base, params) for params in grid], label, folds, parallel, whole=False)
+        rows = [
+            (str(params[layers][1:-1]), int(params[rounds]), float(auc), i)
+            for i, (params, (_, _, auc)) in enumerate(zip(grid, found))
+        ]
+        rows.sort(key=lambda r: (-r[2], r[0], r[1]))
+        best = base.estimator.fit(data, grid[rows[0][3]])
     finally:
         data.unpersist()
-    rows = []
-    for params, metric in zip(grid, fitted.avgMetrics):
-        named = {p.name: v for p, v in params.items()}
-        rows.append((str(named["layers"][1:-1]), int(named["maxIter"]), float(metric)))
-    return PipelineModel([*stages.stages, fitted.bestModel]), sorted(rows, key=lambda r: (-r[2], r[0], r[1]))
+    return PipelineModel([*stages.stages, best]), [r[:3] for r in rows]

@@ -47,7 +47,7 @@ def kmeans(vectors: DataFrame, k: int, restarts: int = 3, seed: int = 1, max_ite
 
 
 def scan(
-    vectors: DataFrame, ks: Iterable[int], restarts: int = 3, seed: int = 1, max_iter: int = 20, parallel: int = 4,
+    vectors: DataFrame, ks: Iterable[int], restarts: int = 3, seed: int = 1, max_iter: int = 20, parallel: int = 6,
     totss: float | None = None,
 ) -> list[Clustering]:
     """Best clustering for every k. The vectors should be persisted.

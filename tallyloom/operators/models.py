@@ -49,7 +49,7 @@ def fit_all(
     train: DataFrame, features: Sequence[str], label: str, estimators: Mapping[str, Estimator]
 ) -> dict[str, PipelineModel]:
     """Fit every family on the same cached vectors."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     data = assembler.transform(train).select("features", label).persist()
     try:
         return {name: PipelineModel([assembler, est.fit(data)]) for name, est in estimators.items()}
@@ -59,16 +59,20 @@ def fit_all(
 
 def workflow(features: Sequence[str], estimator: Estimator, *before) -> Pipeline:
     """Feature stages and a model as one estimator on raw rows."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     return Pipeline(stages=[*before, assembler, estimator])
 
 
-def predict_all(models: Mapping[str, Model], df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Predictions of all models in one long table ``(model_id, keep..., pred)``, in one pass over the rows."""
-    wide = df
+def predict_all(models: Mapping[str, PipelineModel], df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Predictions of models that share their feature stages, in one long table ``(model_id, keep..., pred)``.
+
+    The feature vector is built once, and every model adds its own column to
+    the same rows.
+    """
+    first = next(iter(models.values()))
+    wide = PipelineModel(first.stages[:-1]).transform(df)
     for i, model in enumerate(models.values()):
-        out = model.transform(wide)
-        wide = out.withColumnRenamed("prediction", f"__p{i}").drop("features")
+        wide = model.stages[-1].copy().setPredictionCol(f"__p{i}").transform(wide)
     cells = [F.struct(F.lit(n).alias("model_id"), F.col(f"__p{i}").alias("pred")) for i, n in enumerate(models)]
     return wide.select(*keep, F.inline(F.array(*cells)))
 

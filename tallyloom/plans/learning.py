@@ -214,8 +214,7 @@ def _explained(t: Tables, cases: int = 20):
     """Explanations of the 20 test documents that the model finds best."""
     train, _, test = _three_parts(_label(_documents(t)))
     forest = automl.candidates(len(FEATURES), "label")[1]
-    found = automl.search(train, "doc_id", FEATURES, "label", folds=3, wanted=[forest], stack=False)
-    model = found.models["DRF_1"]
+    model = automl.fit_one(train, FEATURES, forest)
     own = automl.columns_of("DRF_1")["probabilityCol"]
 
     def score(df):

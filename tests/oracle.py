@@ -97,6 +97,7 @@ def main(argv):
     for name, fn in entry.queries().items():
         if argv[1:] and name not in argv[1:]:
             continue
+        spark.catalog.clearCache()
         try:
             message, seconds, n = compare(spark, con, folder, name, fn, sqls.get(name))
         except Exception as e:  # report and go on
