@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import case_when, half_even
+from ..functions.steps import how_many_reached
 from ..sources.tables import hash_uniform
 from .factors import level_lists
 from .gram import cross_sums, ridge, unpack
@@ -43,10 +44,7 @@ class Explainer:
         """Bin number from 0; a border belongs to the lower bin."""
         if name in self.levels:
             return F.array_position(F.array(*[F.lit(v) for v in self.levels[name]]), value.cast("string")).cast("int") - 1
-        inner = self.edges[name][1:-1]
-        if not inner:
-            return F.lit(0)
-        return F.size(F.filter(F.array(*[F.lit(e) for e in inner]), lambda e: e < value))
+        return how_many_reached(self.edges[name][1:-1], value, strictly=True)
 
     def descriptions(self, name: str) -> list[str]:
         if name in self.levels:
@@ -96,10 +94,7 @@ def fit_explainer(train: DataFrame, numeric: Sequence[str], categorical: Sequenc
 
 
 def _draw_bin(shares: Sequence[float], u: Column) -> Column:
-    steps = np.cumsum(shares)[:-1]
-    if len(steps) == 0:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(float(s)) for s in steps]), lambda s: s <= u))
+    return how_many_reached(np.cumsum(shares)[:-1].tolist(), u)
 
 
 def perturb(cases: DataFrame, key: str, explainer: Explainer, n_permutations: int, seed: int) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.steps import how_many_reached
 from .evaluate import BY, score_counts
 from .ordering import ROWS_PER_TASK, ntile, running
 from .reshape import lengthen
@@ -54,7 +55,7 @@ def fine_gain_lift(scored: DataFrame, fractions=FRACTIONS, rows_per_task: int =
     up = running(counts, [BY], [-F.col("score")], cumsum={"__n": "n"}, rows_per_task=rows_per_task)
     totals = counts.groupBy(BY).agg(F.sum("n").alias("__all"))
     start = F.try_divide(F.col("__n") - F.col("n"), F.col("__all"))
-    group = F.size(F.filter(F.array(*[F.lit(f) for f in fractions]), lambda f: f <= start)) + 1
+    group = how_many_reached(fractions, start) + 1
     grouped = (
         up.join(totals, BY)
         .withColumn("group", group)

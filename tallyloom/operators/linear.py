@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.steps import how_many_reached
 from ..sources.tables import hash_uniform
 from .factors import level_lists
 from .gram import Line, cross_sums, least_squares, ridge, t_quantile, t_tail, unpack
@@ -118,7 +119,7 @@ _POISSON = tuple(float(v) for v in np.cumsum(np.exp(-1) / np.array([1, 1, 2, 6,
 def poisson_weight(*seed: Column) -> Column:
     """Poisson(1) count that depends only on its inputs."""
     u = hash_uniform(*seed)
-    return F.size(F.filter(F.array(*[F.lit(p) for p in _POISSON]), lambda p: p <= u)).cast("double")
+    return how_many_reached(_POISSON, u).cast("double")
 
 
 def bootstrap_interval(
