@@ -73,21 +73,23 @@ def codes(df: DataFrame, name: str, levels: DataFrame, out: str | None = None) -
 def level_lists(df: DataFrame, names: Sequence[str], limit: int = MAX_LEVELS) -> dict[str, list[str]]:
     """Sorted levels of several columns on the driver, for work that makes columns out of levels.
 
-    Distinct counts are checked first: a column with too many levels is an
-    error instead of a huge result.
+    An approximate distinct count (one pass, nothing shuffled but sketches)
+    rejects columns with far too many levels before their values are gathered;
+    the exact check follows on what was gathered.
     """
     names = list(names)
     if not names:
         return {}
-    sizes = df.agg(*[F.count_distinct(F.col(n)).alias(n) for n in names]).first().asDict()
-    wide = [n for n in names if sizes[n] > limit]
+    sizes = df.agg(*[F.approx_count_distinct(F.col(n).cast("string")).alias(n) for n in names]).first().asDict()
+    wide = [n for n in names if sizes[n] > 1.25 * limit]
+    out = {n: [] for n in names}
+    if not wide:
+        cells = F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).cast("string").alias("value")) for n in names])
+        for r in df.select(F.inline(cells)).filter(F.col("value").isNotNull()).distinct().collect():
+            out[r["key"]].append(r["value"])
+        wide = [n for n in names if len(out[n]) > limit]
     if wide:
         raise ValueError(f"too many levels (over {limit}) in {wide}")
-    cells = F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).cast("string").alias("value")) for n in names])
-    pairs = df.select(F.inline(cells)).filter(F.col("value").isNotNull()).distinct().collect()
-    out = {n: [] for n in names}
-    for r in pairs:
-        out[r["key"]].append(r["value"])
     return {n: sorted(v) for n, v in out.items()}
 
 

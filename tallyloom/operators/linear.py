@@ -14,6 +14,7 @@ from ..sources.tables import hash_uniform
 from .factors import level_lists
 from .gram import Line, cross_sums, least_squares, ridge, t_quantile, t_tail, unpack
 from .ordering import average_rank
+from .profile import correlation
 from .recipe import dummy_name
 
 
@@ -167,7 +168,7 @@ def regression_metrics(df: DataFrame, truth: str, estimate: str, by: Sequence[st
     """rmse, rsq (squared correlation) and mae in long form, over rows where both are present."""
     both = df.filter(F.col(truth).isNotNull() & F.col(estimate).isNotNull())
     y, p = F.col(truth).cast("double"), F.col(estimate).cast("double")
-    r = F.try_divide(F.covar_pop(y, p), F.stddev_pop(y) * F.stddev_pop(p))
+    r = correlation(y, p)
     wide = both.groupBy(*by).agg(
         F.sqrt(F.avg((y - p) * (y - p))).alias("rmse"), (r * r).alias("rsq"), F.avg(F.abs(y - p)).alias("mae")
     )

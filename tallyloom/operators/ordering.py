@@ -16,8 +16,10 @@ rows. ``running`` therefore checks the largest group first:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,7 +31,6 @@ from .keys import attach
 
 ROWS_PER_TASK = 4_000_000
 MAX_SLICES = 4096
-_FAN = 64  # borders are searched in two levels of at most 64
 _SAMPLES_PER_SLICE = 32
 _SLICE = "__slice"
 
@@ -55,27 +56,38 @@ def measure(df: DataFrame, by: Sequence[str] = ()) -> Size:
 def _sortable(df: DataFrame, col: Column) -> Column:
     """Dates and times as numbers, so that borders can be written as constants."""
     kind = df.select(col.alias("c")).schema["c"].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp"))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col)
+    if isinstance(kind, T.TimestampNTZType):  # no detour over a time zone, which may skip or repeat hours
+        minutes = (F.unix_date(col.cast("date")).cast("long") * 24 + F.hour(col)) * 60 + F.minute(col)
+        return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), col) * 1_000_000).cast("long")
     if isinstance(kind, T.DateType):
         return F.unix_date(col)
     return col
 
 
-def _constant(value: tuple, kinds: Sequence[T.DataType]) -> Column:
-    return F.struct(*[F.lit(v).cast(k).alias(f"k{i}") for i, (v, k) in enumerate(zip(value, kinds))])
+def _constant(values, kind: str) -> Column:
+    """Nested constant of any size as one literal (folded by the optimizer), not one expression per value."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
 
 
 def _slice_number(keys: Sequence[str], df: DataFrame, borders: Sequence[tuple]) -> Column:
-    """Number of borders that are not above the row, by a two-level search."""
-    kinds = [df.schema[k].dataType for k in keys]
+    """Number of borders that are not above the row, by binary search in one constant array."""
+    kinds = [df.schema[k].dataType.simpleString() for k in keys]
     row = F.struct(*[F.col(k).cast(t).alias(f"k{i}") for i, (k, t) in enumerate(zip(keys, kinds))])
-    blocks = [borders[i : i + _FAN] for i in range(0, len(borders), _FAN)]
-    starts = F.array(*[_constant(b[0], kinds) for b in blocks])
-    inner = F.array(*[F.array(*[_constant(v, kinds) for v in b]) for b in blocks])
-    block = F.size(F.filter(starts, lambda b: b <= row))
-    within = F.size(F.filter(F.element_at(inner, F.greatest(block, F.lit(1))), lambda b: b <= row))
-    return (F.greatest(block - 1, F.lit(0)) * _FAN + within).cast("int")
+    border = "struct<" + ",".join(f"k{i}:{t}" for i, t in enumerate(kinds)) + ">"
+    values = _constant([{f"k{i}": _plain(v) for i, v in enumerate(b)} for b in borders], f"array<{border}>")
+    steps = [1 << i for i in reversed(range(len(borders).bit_length()))]
+
+    def advance(at, step):
+        # beyond the end there is no border, the test is missing and the position stays
+        return F.when(F.get(values, at + step - 1) <= row, at + step).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+
+
+def _plain(value):
+    return float(value) if isinstance(value, Decimal) else value
 
 
 def _with_slices(df: DataFrame, keys: Sequence[str], rows: int, rows_per_task: int) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,23 +109,92 @@ def correlation(x: Column, y: Column) -> Column:
     """Aggregate: correlation over rows where both are present; missing for a constant column."""
     both = x.isNotNull() & y.isNotNull()
     a, b = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    varies = (F.max(a) > F.min(a)) & (F.max(b) > F.min(b))  # rounding may leave a constant a tiny variance
+    return F.when(varies, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
 
 
 def correlation_matrix(df: DataFrame, names: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """All pairs ``(by..., x, y, correlation)``; each unordered pair is computed once."""
+    """All pairs ``(by..., x, y, correlation)``; each unordered pair is computed once.
+
+    Few columns: built-in aggregates in one pass. Many columns: cross sums of
+    whole batches, still in one pass (see ``pair_sums``).
+    """
     names = list(names or columns.numeric(df))
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    stats = {f"__c{i}": correlation(F.col(a), F.col(b)) for i, (a, b) in enumerate(pairs)}
-    if by:
-        wide = df.groupBy(*by).agg(*[c.alias(n) for n, c in stats.items()])
-    else:
-        wide = one_pass(df, stats)
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"__c{i}").alias("correlation")))
-    return wide.select(*by, F.inline(F.array(*cells)))
+    if len(pairs) > MAX_EXPRESSIONS:
+        return _both_ways(_from_sums(pair_sums(df, names, by), by))
+    stats = [correlation(F.col(a), F.col(b)).alias(f"__c{i}") for i, (a, b) in enumerate(pairs)]
+    cells = F.array(
+        *[
+            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"__c{i}").alias("correlation"))
+            for i, (a, b) in enumerate(pairs)
+        ]
+    )
+    return _both_ways(df.groupBy(*by).agg(*stats).select(*by, F.inline(cells)))
+
+
+def _both_ways(upper: DataFrame) -> DataFrame:
+    """Add the mirrored pairs in the same pass."""
+    swap = F.struct(F.col("y").alias("x"), F.col("x").alias("y"))
+    same = F.struct("x", "y")
+    ways = F.when(F.col("x") == F.col("y"), F.array(same)).otherwise(F.array(same, swap))
+    rest = [c for c in upper.columns if c not in ("x", "y")]
+    return upper.withColumn("__xy", F.explode(ways)).select(*rest[:-1], "__xy.x", "__xy.y", rest[-1])
+
+
+def pair_sums(df: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Sums over complete pairs ``(by..., x, y, n, sx, sy, sxx, syy, sxy)`` for many columns.
+
+    Every partition adds up matrix products of its batches, with values shifted
+    by the column means so that nothing cancels, and gives one row per pair.
+    """
+    names, by = list(names), list(by)
+    row = df.agg(*[F.avg(F.col(n).cast("double")).alias(f"m{i}") for i, n in enumerate(names)]).first()
+    shift = np.array([v if v is not None else 0.0 for v in row], dtype=float)
+    first, second = np.triu_indices(len(names))
+    labels = np.array(names, dtype=object)
+    fields = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    keys = [f"__b{i}" for i in range(len(by))]
+
+    def add(batches):
+        found: dict = {}
+        for pdf in batches:
+            groups = pdf.groupby(keys, dropna=False, sort=False) if keys else [((), pdf)]
+            for key, part in groups:
+                values = part[names].to_numpy(dtype=float) - shift
+                known = ~np.isnan(values)
+                x, m = np.where(known, values, 0.0), known.astype(float)
+                square = x * x
+                full = (m.T @ m, x.T @ m, m.T @ x, square.T @ m, m.T @ square, x.T @ x)
+                sums = np.stack([f[first, second] for f in full])
+                found[key] = found.get(key, 0.0) + sums
+        for key, sums in found.items():
+            out = pd.DataFrame(dict(zip(fields, sums)))
+            out.insert(0, "y", labels[second])
+            out.insert(0, "x", labels[first])
+            for k, v in zip(keys, key):
+                out[k] = None if pd.isna(v) else v
+            yield out[[*keys, "x", "y", *fields]]
+
+    schema = ", ".join([*[f"{k} string" for k in keys], "x string", "y string", *[f"{f} double" for f in fields]])
+    source = df.select(
+        *[F.col(b).cast("string").alias(k) for b, k in zip(by, keys)], *[F.col(n).cast("double").alias(n) for n in names]
+    )
+    parts = source.mapInPandas(add, schema)
+    sums = parts.groupBy(*keys, "x", "y").agg(*[F.sum(f).alias(f) for f in fields])
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return sums.select(*[F.col(k).cast(kinds[b]).alias(b) for b, k in zip(by, keys)], "x", "y", *fields)
+
+
+def _from_sums(sums: DataFrame, by: Sequence[str]) -> DataFrame:
+    n = F.col("n")
+    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
+    vx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
+    vy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
+    # what is left of a constant column after rounding is not variation
+    flat = (vx <= F.lit(1e-12) * F.col("sxx")) | (vy <= F.lit(1e-12) * F.col("syy"))
+    value = F.when(~flat, F.try_divide(cov, F.sqrt(vx * vy)))
+    return sums.select(*by, "x", "y", value.alias("correlation"))
 
 
 def numbers_only(df: DataFrame) -> DataFrame:

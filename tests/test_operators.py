@@ -218,3 +218,19 @@ def test_stratified_split_with_a_hot_stratum(spark):
     counts = {r.s: r.n for r in plain.filter("split = 'train'").groupBy("s").agg(F.count("*").alias("n")).collect()}
     assert counts["hot"] == 480
     assert split.strata_coverage(plain, "s").filter("not in_both").count() == 0
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_wide_correlations_equal_built_in_ones(spark, monkeypatch, by):
+    df = spark.range(500).repartition(5).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 != 0, "g").alias("g"),
+        *[F.when(F.pmod(F.hash("id", F.lit(i)), F.lit(9)) > 0, F.pmod(F.hash("id", F.lit(i)), F.lit(100)) + 1e6 + F.col("id") * i).alias(f"c{i}") for i in range(5)],
+        F.lit(7).alias("same"),
+    )
+    names = [f"c{i}" for i in range(5)] + ["same"]
+    plain = {tuple(r)[:-1]: r.correlation for r in profile.correlation_matrix(df, names, by).collect()}
+    monkeypatch.setattr(profile, "MAX_EXPRESSIONS", 3)
+    wide = {tuple(r)[:-1]: r.correlation for r in profile.correlation_matrix(df, names, by).collect()}
+    assert plain.keys() == wide.keys() and len(plain) == 36 * (3 if by else 1)
+    for k, v in plain.items():
+        assert wide[k] == (pytest.approx(v, abs=1e-9) if v is not None else None), k
