@@ -107,30 +107,67 @@ def skewed_columns(df: DataFrame, cutoff: float = 0.7, exclude: Sequence[str] =
 
 def correlation(x: Column, y: Column) -> Column:
     """Aggregate: correlation over rows where both are present; missing for a constant column."""
-    both = x.isNotNull() & y.isNotNull()
-    a, b = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
-    varies = (F.max(a) > F.min(a)) & (F.max(b) > F.min(b))  # rounding may leave a constant a tiny variance
-    return F.when(varies, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
+    a, b = x.cast("double"), y.cast("double")
+    sxx, syy, n = F.regr_sxx(b, a), F.regr_syy(b, a), F.regr_count(b, a)
+
+    def varies(square, col):
+        # merging partial means leaves a constant column a variance of the order of the rounding error
+        size = F.lit(1e-13) * F.max(F.abs(col))
+        return square > n * size * size
+
+    return F.when(varies(sxx, a) & varies(syy, b), F.try_divide(F.regr_sxy(b, a), F.sqrt(sxx) * F.sqrt(syy)))
 
 
 def correlation_matrix(df: DataFrame, names: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """All pairs ``(by..., x, y, correlation)``; each unordered pair is computed once.
 
-    Few columns: built-in aggregates in one pass. Many columns: cross sums of
-    whole batches, still in one pass (see ``pair_sums``).
+    A first narrow pass gives the means and tells which columns have missing
+    values; the second adds up products of shifted values, which is far lighter
+    than a running covariance per pair. Few columns: built-in sums. Many
+    columns: matrix products of whole batches (see ``pair_sums``).
     """
     names = list(names or columns.numeric(df))
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    if len(pairs) > MAX_EXPRESSIONS:
+    if len(names) * (len(names) + 1) // 2 > MAX_EXPRESSIONS:
         return _both_ways(_from_sums(pair_sums(df, names, by), by))
-    stats = [correlation(F.col(a), F.col(b)).alias(f"__c{i}") for i, (a, b) in enumerate(pairs)]
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"__c{i}").alias("correlation"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return _both_ways(df.groupBy(*by).agg(*stats).select(*by, F.inline(cells)))
+    return _both_ways(_from_sums(_written_out_sums(df, names, by), by))
+
+
+def _means(df: DataFrame, names: Sequence[str]) -> tuple[list[float], list[bool]]:
+    """Means, and whether a column has missing values."""
+    stats = [F.struct(F.avg(F.col(n).cast("double")).alias("m"), (F.count(n) < F.count(F.lit(1))).alias("gaps")) for n in names]
+    row = df.agg(*[c.alias(f"m{i}") for i, c in enumerate(stats)]).first()
+    return [float(r["m"]) if r["m"] is not None else 0.0 for r in row], [r["gaps"] for r in row]
+
+
+def _written_out_sums(df: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The result of ``pair_sums`` from built-in sums; columns without gaps share their own sums."""
+    means, gaps = _means(df, names)
+    x = [F.col(n).cast("double") - F.lit(m) for n, m in zip(names, means)]
+    sums: dict[str, Column] = {"__n": F.count(F.lit(1)).cast("double")}
+    cells = []
+
+    def add(name, col):
+        sums[name] = F.sum(col)
+        return F.col(name)
+
+    for i in range(len(names)):
+        if not gaps[i]:
+            add(f"__s{i}", x[i])
+            add(f"__q{i}", x[i] * x[i])
+    for i, a in enumerate(names):
+        for j in range(i, len(names)):
+            if gaps[i] or gaps[j]:
+                both = x[i].isNotNull() & x[j].isNotNull()
+                u, v = F.when(both, x[i]), F.when(both, x[j])
+                of = {"n": F.when(both, 1.0).otherwise(0.0), "sx": u, "sy": v, "sxx": u * u, "syy": v * v, "sxy": u * v}
+                got = {k: add(f"__{k}_{i}_{j}", c) for k, c in of.items()}
+            else:
+                product = F.col(f"__q{i}") if i == j else add(f"__p{i}_{j}", x[i] * x[j])
+                got = {"n": F.col("__n"), "sx": F.col(f"__s{i}"), "sy": F.col(f"__s{j}"), "sxx": F.col(f"__q{i}")}
+                got |= {"syy": F.col(f"__q{j}"), "sxy": product}
+            cells.append(F.struct(F.lit(a).alias("x"), F.lit(names[j]).alias("y"), *[c.alias(k) for k, c in got.items()]))
+    wide = df.groupBy(*by).agg(*[c.alias(n) for n, c in sums.items()])
+    return wide.select(*by, F.inline(F.array(*cells)))
 
 
 def _both_ways(upper: DataFrame) -> DataFrame:
@@ -149,8 +186,7 @@ def pair_sums(df: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> Da
     by the column means so that nothing cancels, and gives one row per pair.
     """
     names, by = list(names), list(by)
-    row = df.agg(*[F.avg(F.col(n).cast("double")).alias(f"m{i}") for i, n in enumerate(names)]).first()
-    shift = np.array([v if v is not None else 0.0 for v in row], dtype=float)
+    shift = np.array(_means(df, names)[0], dtype=float)
     first, second = np.triu_indices(len(names))
     labels = np.array(names, dtype=object)
     fields = ["n", "sx", "sy", "sxx", "syy", "sxy"]
