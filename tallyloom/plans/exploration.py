@@ -387,3 +387,16 @@ FROM orders GROUP BY 1"""
 )
 def fold_counts(t: Tables):
     return split.folds(t.orders.select("o_orderkey"), "o_orderkey", 5).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """
+SELECT feature, round(correlation, 6) AS correlation FROM (
+  SELECT 'l_discount' AS feature, corr(l_discount, CAST(l_returnflag = 'R' AS DOUBLE)) AS correlation FROM lineitem
+  UNION ALL SELECT 'l_tax', corr(l_tax, CAST(l_returnflag = 'R' AS DOUBLE)) FROM lineitem)"""
+)
+def themed_correlation(t: Tables):
+    """One theme of columns, chosen by parts of their names, against the target."""
+    df = t.lineitem.withColumn("returned", (F.col("l_returnflag") == "R").cast("double"))
+    found = profile.correlation_with(profile.themed(df, ["returned"], ["DISC", "tax"]), "returned", order=True)
+    return found.withColumn("correlation", F.round("correlation", 6))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import functions as F
 
 from ..operators import joins, linear, models, split
@@ -217,3 +218,17 @@ def model_parameters(t: Tables):
     """Settings of fitted models as rows."""
     _, _, fitted = _fit(t, "elastic_net", "tree")
     return joins.merge([models.parameters(t.spark, n, m) for n, m in fitted.items()])
+
+
+@query()
+def workflow_predictions(t: Tables):
+    """Feature stages and a model as one fitted object that scores raw rows."""
+    parts = t.part.select("p_partkey", "p_type", "p_size", "p_retailprice")
+    train, test = split.parts(parts, "p_partkey", 0.9)
+    stages = (
+        StringIndexer(inputCol="p_type", outputCol="p_type_code", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCol="p_type_code", outputCol="p_type_flags"),
+    )
+    price = models.regressors("p_retailprice", 2)["linear"]
+    fitted = models.workflow(["p_size", "p_type_flags"], price, *stages).fit(train)
+    return fitted.transform(test).select("p_partkey", "p_retailprice", F.col("prediction").alias("pred"))
