@@ -307,7 +307,8 @@ def composite_inner_join(t: Tables):
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg(F.col("l_quantity") - F.col("mean_quantity")), 4).alias("mean_deviation"),
     )
-    return aggregates.share_within(counts).withColumn("share", F.round("share", 8))
+    # two rows, read for the shares and for their total
+    return aggregates.share_within(counts.persist()).withColumn("share", F.round("share", 8))
 
 
 CUSTOMER_TRENDS = """
