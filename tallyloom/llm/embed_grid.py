@@ -78,9 +78,10 @@ def sequences(batches: Iterator[pa.RecordBatch], axes: dict[int, np.ndarray]):
     """The range of a partition as packed sequences, one per label and dimension."""
     from pyspark import TaskContext
 
-    table = pa.Table.from_batches(list(batches))  # a range has a bounded number of rows
-    if table.num_rows == 0:
+    held = [b for b in batches if b.num_rows]  # a range has a bounded number of rows
+    if not held:
         return
+    table = pa.Table.from_batches(held)
     table = table.sort_by([("label", "ascending"), ("x0", "ascending"), ("x1", "ascending"), ("x2", "ascending")]).combine_chunks()
     label = table.column("label").to_pylist()
     size, start, flat = vectors_of(table.column("v").chunk(0))

@@ -142,7 +142,7 @@ def folded_words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(FOLD).split()
 
 
-def train(texts: list[bytes], labels: np.ndarray, rounds: int = 10, seed: int = 5) -> Network:
+def train(texts: list[bytes], labels: np.ndarray, rounds: int = 6, seed: int = 5) -> Network:
     """Each round takes the highest windows of every document and random ones of clean documents (a document is toxic
     for one window). Word embeddings begin with the log odds of the word's document frequency."""
     net, draw = Network(seed), np.random.default_rng(seed)
