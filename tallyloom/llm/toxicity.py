@@ -133,9 +133,12 @@ def windows_of(numbers: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndar
     owner = np.repeat(np.arange(n), per)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
     start = begin[owner] + nth * STRIDE
-    at = start[:, None] + np.arange(WINDOW)
-    inside = at < (begin + count)[owner][:, None]
-    return np.where(inside, numbers[np.where(inside, at, 0)], 0), owner
+    end = (begin + count)[owner]
+    out = np.zeros((len(owner), WINDOW), np.int32)
+    for t in range(WINDOW):
+        inside = np.flatnonzero(start + t < end)
+        out[inside, t] = numbers[start[inside] + t]
+    return out, owner
 
 
 def folded_words(text: bytes | None) -> list[bytes]:
@@ -146,13 +149,13 @@ def train(texts: list[bytes], labels: np.ndarray, rounds: int = 6, seed: int = 5
     """Each round takes the highest windows of every document and random ones of clean documents (a document is toxic
     for one window). Word embeddings begin with the log odds of the word's document frequency."""
     net, draw = Network(seed), np.random.default_rng(seed)
-    lists = [folded_words(t) for t in texts]
-    vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for words in lists for w in words}))}
+    vocabulary: dict[bytes, int] = {}
+    lists = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in folded_words(t)], np.int32) for t in texts]
     if not vocabulary or len(set(labels.tolist())) < 2:
         net.curve = (0.0, float(np.log((labels.mean() + 1e-3) / (1 - labels.mean() + 1e-3))) if len(labels) else -5.0)
         return net
     buckets, chars, begin = word_parts(list(vocabulary))
-    numbers = np.array([vocabulary[w] for words in lists for w in words])
+    numbers = np.concatenate(lists)
     owners = np.repeat(np.arange(len(lists)), [len(w) for w in lists])
     seen = np.unique(owners * (WORDS + 1) + buckets[numbers - 1])
     doc, bucket = seen // (WORDS + 1), seen % (WORDS + 1)
