@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Learning rows: at most this many of a language, and this many in all.
-ROWS_PER_LANGUAGE, ROWS = 600, 6000
+ROWS_PER_LANGUAGE, ROWS = 300, 3000
 BUCKETS = 2048
 LETTERS_AT_ONCE = 1 << 18
 UNKNOWN = "und"
@@ -86,11 +86,11 @@ def fit(features: np.ndarray, languages: list[str], ridge: float = 0.01, lead: f
     book = codebook(len(names))
     place = {name: i for i, name in enumerate(names)}
     y = book[[place[x] for x in languages]]
-    x = features.astype(np.float64)
-    middle, centre = x.mean(axis=0), y.mean(axis=0)
-    x = x - middle
-    kernel = x @ x.T
-    inverse = np.linalg.inv(kernel + ridge * np.eye(len(x)))
+    middle, centre = features.mean(axis=0), y.mean(axis=0)
+    x = features - middle
+    kernel = (x @ x.T).astype(np.float64)
+    kernel[np.diag_indices(len(x))] += ridge
+    inverse = np.linalg.inv(kernel)
     dual = inverse @ (y - centre)
     weights = x.T @ dual
     left_out = y - dual / np.diag(inverse)[:, None]
@@ -105,14 +105,17 @@ def held_out(id_col: str, parts: int, part: int):
 
 
 def learning_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, out) -> DataFrame:
-    """text and lang of a bounded sample in hash order, as many of each language."""
+    """text and lang of a bounded sample in hash order, as many of each language.
+
+    The chosen ids are broadcast: there are ``ROWS`` of them at most, or one per language where there are more.
+    """
     known = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~out)
     kinds = known.select(F.countDistinct(lang_col)).first()[0]
     most = max(1, min(ROWS_PER_LANGUAGE, ROWS // max(1, kinds)))
     narrow = known.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.xxhash64(id_col).alias("__hash"))
     nth = Window.partitionBy("__lang").orderBy("__hash", "__id")
     chosen = narrow.withColumn("__n", F.row_number().over(nth)).filter(F.col("__n") <= most).select("__id").distinct()
-    picked = known.join(chosen, F.col(id_col) == F.col("__id"), "left_semi")
+    picked = known.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"), "left_semi")
     return picked.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).limit(2 * ROWS)
 
 
@@ -133,7 +136,9 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, out) -> Mo
     features = np.zeros((len(rows), 2 * BUCKETS), np.float32)
     for i, r in enumerate(rows):
         features[i, np.frombuffer(r[1], np.uint16)] = np.frombuffer(r[2], np.float32)
-    return fit(features, [r[0] for r in rows])
+    languages = [r[0] for r in rows]
+    del rows
+    return fit(features, languages)
 
 
 def has_letter(text: str) -> bool:

@@ -268,7 +268,7 @@ class Scorer:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, out) -> Network:
-    """Trains on the driver, on a bounded sample in hash order."""
+    """Trains on the driver, on a bounded sample in hash order; the chosen ids, as many at most, are broadcast."""
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).alias("__y"))
     rows = docs.filter(F.col(id_col).isNotNull() & ~out).select(F.col(id_col).alias("__doc")).distinct().join(known, F.col("__doc") == F.col("__id")).select("__id", "__y")
     rows = rows.withColumn("__hash", F.xxhash64("__id"))
@@ -276,7 +276,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     for label, most in ROWS.items():
         some = rows.filter(F.col("__y") == label).orderBy("__hash", "__id").limit(most)
         chosen = some if chosen is None else chosen.unionAll(some)
-    picked = docs.join(chosen, F.col(id_col) == F.col("__id")).select("__hash", "__y", F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("t"))
+    picked = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select("__hash", "__y", F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("t"))
     got = sorted((h, y, bytes(t)) for h, y, t in picked.limit(2 * sum(ROWS.values())).collect())
     return train([t for _, _, t in got], np.array([y for _, y, _ in got], int))
 
