@@ -41,10 +41,10 @@ class Explainer:
         return [*self.edges, *self.levels]
 
     def bin_of(self, name: str, value: Column) -> Column:
-        """Bin number from 0; a border belongs to the lower bin."""
+        """Bin number from 0, missing for a missing value; a border belongs to the lower bin."""
         if name in self.levels:
             return F.array_position(F.array(*[F.lit(v) for v in self.levels[name]]), value.cast("string")).cast("int") - 1
-        return how_many_reached(self.edges[name][1:-1], value, strictly=True)
+        return F.when(value.isNotNull(), how_many_reached(self.edges[name][1:-1], value, strictly=True))
 
     def descriptions(self, name: str) -> list[str]:
         if name in self.levels:
@@ -56,19 +56,21 @@ class Explainer:
         return [f"{name} <= {e[1]:g}", *middle, f"{e[-2]:g} < {name}"]
 
 
-def explainer_table(train: DataFrame, numeric: Sequence[str], n_bins: int = 4) -> DataFrame:
-    """Bins ``(feature, bin, lower, upper, n)`` of numeric features at their quantiles."""
-    e = _fit_edges(train, numeric, n_bins)
-    x = Explainer(e, {}, {})
-    cells = [F.struct(F.lit(n).alias("feature"), x.bin_of(n, F.col(n).cast("double")).alias("bin")) for n in numeric]
-    known = [F.col(n).isNotNull() for n in numeric]
-    cells = [F.when(k, c) for k, c in zip(known, cells)]
-    counts = train.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).groupBy("c.feature", "c.bin").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    rows = [(n, i, lo, hi) for n, v in e.items() for i, (lo, hi) in enumerate(zip(v[:-1], v[1:]))]
-    bins = train.sparkSession.createDataFrame(rows, "feature string, bin int, lower double, upper double")
-    return bins.join(counts, ["feature", "bin"], "left").na.fill({"n": 0})
+def explainer_table(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), n_bins: int = 4) -> DataFrame:
+    """Bins ``(feature, bin, lower, upper, level, n, share)`` of the fitted explainer.
+
+    Numeric features are cut at their quantiles, text features have one bin per level. Rows with a missing value
+    belong to no bin and do not enter the shares.
+    """
+    x, counts = _fitted(train, numeric, categorical, n_bins)
+    rows = []
+    for name in x.features:
+        size = len(x.shares[name])
+        bounds = [(None, None)] * size if name in x.levels else list(zip(x.edges[name][:-1], x.edges[name][1:]))
+        texts = x.levels.get(name, [None] * size)
+        rows += [(name, i, *bounds[i], texts[i], counts.get((name, i), 0), x.shares[name][i]) for i in range(size)]
+    kinds = "feature string, bin int, lower double, upper double, level string, n long, share double"
+    return train.sparkSession.createDataFrame(rows, kinds)
 
 
 def _fit_edges(train: DataFrame, numeric: Sequence[str], n_bins: int) -> dict[str, list[float]]:
@@ -80,6 +82,11 @@ def _fit_edges(train: DataFrame, numeric: Sequence[str], n_bins: int) -> dict[st
 
 def fit_explainer(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), n_bins: int = 4) -> Explainer:
     """Learn bins, bin shares, levels and level shares from the training rows."""
+    return _fitted(train, numeric, categorical, n_bins)[0]
+
+
+def _fitted(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], n_bins: int):
+    """The explainer and the rows of its bins; missing values are in none."""
     out = Explainer(_fit_edges(train, numeric, n_bins), {}, level_lists(train, list(categorical)))
     cells = [
         F.struct(F.lit(n).alias("f"), out.bin_of(n, F.col(n)).alias("b")) for n in out.features
@@ -90,7 +97,7 @@ def fit_explainer(train: DataFrame, numeric: Sequence[str], categorical: Sequenc
         size = len(out.levels[name]) if name in out.levels else len(out.edges[name]) - 1
         n = [found.get((name, b), 0) for b in range(size)]
         out.shares[name] = [v / max(sum(n), 1) for v in n]
-    return out
+    return out, found
 
 
 def _draw_bin(shares: Sequence[float], u: Column) -> Column:
@@ -101,7 +108,8 @@ def perturb(cases: DataFrame, key: str, explainer: Explainer, n_permutations: in
     """Drawn rows around each case; draw 1 is the case itself.
 
     Features are replaced by drawn values, ``__z<i>`` tells whether the draw
-    lies in the bin of the case.
+    lies in the bin of the case. A missing value is a bin of its own that only
+    the case itself has.
     """
     chunks = -(-n_permutations // _CHUNK)
     spread = cases.withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
@@ -114,7 +122,7 @@ def perturb(cases: DataFrame, key: str, explainer: Explainer, n_permutations: in
         u = hash_uniform(F.col(key), F.col("__draw"), F.lit(2 * i), F.lit(seed))
         own = explainer.bin_of(name, F.col(name))
         bin_drawn = F.when(original, own).otherwise(_draw_bin(explainer.shares[name], u))
-        values[f"__z{i}"] = F.coalesce((bin_drawn == own).cast("double"), F.lit(0.0))
+        values[f"__z{i}"] = bin_drawn.eqNullSafe(own).cast("double")
         if name in explainer.levels:
             new = F.get(F.array(*[F.lit(v) for v in explainer.levels[name]]), bin_drawn)
         else:
@@ -195,7 +203,10 @@ def explain(
                 prediction = float(beta.sum())
                 for weight, i in zip(beta[1:], chosen):
                     bin_at = r["__bins"][i]
-                    text = texts[i][int(bin_at)] if 0 <= bin_at < len(texts[i]) else names[i]
+                    if bin_at is None or bin_at != bin_at:
+                        text = f"{names[i]} missing"
+                    else:
+                        text = texts[i][int(bin_at)] if 0 <= bin_at < len(texts[i]) else names[i]
                     rows.append(
                         (r["__case"], r["__label"], r["__prob"], r2, float(beta[0]), prediction, names[i],
                          r["__values"][i], float(weight), text, r["__prob"])

@@ -93,6 +93,14 @@ def level_lists(df: DataFrame, names: Sequence[str], limit: int = MAX_LEVELS) ->
     return {n: sorted(v) for n, v in out.items()}
 
 
+def many_levels(df: DataFrame, names: Sequence[str], limit: int | None = None) -> list[str]:
+    """Columns with about so many levels that their codes are joined and not written into the plan."""
+    if not names:
+        return []
+    sizes = df.agg(*[F.approx_count_distinct(F.col(n).cast("string")).alias(n) for n in names]).first().asDict()
+    return [n for n in names if sizes[n] > 0.8 * (limit or MAX_LEVELS)]
+
+
 def code_of(col: Column, levels: Sequence[str]) -> Column:
     """1-based code by a known level list, inside one projection."""
     at = F.array_position(F.array(*[F.lit(v) for v in levels]), col)

@@ -48,7 +48,8 @@ def decode(df: DataFrame, dictionary: DataFrame, keep_code: bool = False) -> Dat
     All dictionaries are turned into one map per column by one aggregate of
     the dictionary (which lists codes, not data rows), and every column is
     decoded in the same projection: one pass over the data and no join per
-    column. Codes without an entry become missing.
+    column. Codes without an entry become missing. A dictionary beyond
+    ``MAX_DICTIONARY`` entries is data: its columns are decoded by joins.
     """
     rows = (
         dictionary.filter(F.col("key").isNotNull())
@@ -58,7 +59,7 @@ def decode(df: DataFrame, dictionary: DataFrame, keep_code: bool = False) -> Dat
         .collect()
     )
     if len(rows) > MAX_DICTIONARY:
-        raise ValueError("dictionary too large for literal maps; join it with left_lookup instead")
+        return _decode_by_join(df, dictionary, keep_code)
     tables: dict[str, dict[float, str]] = {}
     for r in rows:
         tables.setdefault(r["column_name"], {})[r["key"]] = r["value"]
@@ -72,6 +73,18 @@ def decode(df: DataFrame, dictionary: DataFrame, keep_code: bool = False) -> Dat
     return df.withColumns(decoded)
 
 
+def _decode_by_join(df: DataFrame, dictionary: DataFrame, keep_code: bool) -> DataFrame:
+    entries = dictionary.filter(F.col("key").isNotNull()).groupBy("column_name", F.col("key").cast("double").alias("__key"))
+    entries = entries.agg(F.min("value").alias("__label"))
+    named = {r[0] for r in dictionary.filter(F.col("column_name").isin(*df.columns)).select("column_name").distinct().collect()}
+    out = df
+    for name in (c for c in df.columns if c in named):
+        own = entries.filter(F.col("column_name") == name).select("__key", "__label")
+        out = out.join(own, F.col(name).cast("double") == F.col("__key"), "left")
+        out = out.withColumn(f"{name}_value" if keep_code else name, F.col("__label")).drop("__key", "__label")
+    return out
+
+
 # Beyond this many entries a dictionary is data, not metadata.
 MAX_DICTIONARY = 10_000
 
@@ -86,9 +99,13 @@ def bind(parts: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, list(key), "inner"), parts)
 
 
+REST = "rest"
+
+
 def split_by(df: DataFrame, name: str, values: Sequence) -> dict:
-    """One filtered frame per listed value."""
-    return {v: df.filter(F.col(name).eqNullSafe(F.lit(v))) for v in values}
+    """One filtered frame per listed value, and under ``REST`` the rows with any other or no value."""
+    listed = F.coalesce(F.col(name).isin(*values), F.lit(False))
+    return {v: df.filter(F.col(name) == F.lit(v)) for v in values} | {REST: df.filter(~listed)}
 
 
 def merge(parts: Sequence[DataFrame]) -> DataFrame:

@@ -30,7 +30,6 @@ from pyspark.sql import types as T
 from .keys import attach
 
 ROWS_PER_TASK = 4_000_000
-MAX_SLICES = 4096
 _SAMPLES_PER_SLICE = 32
 _SLICE = "__slice"
 
@@ -63,6 +62,10 @@ def _sortable(df: DataFrame, col: Column) -> Column:
         return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), col) * 1_000_000).cast("long")
     if isinstance(kind, T.DateType):
         return F.unix_date(col)
+    if isinstance(kind, T.BinaryType):
+        return F.hex(col)  # two digits per byte keep the order of the bytes
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (col * F.lit(10**kind.scale)).cast("long")
     return col
 
 
@@ -91,7 +94,7 @@ def _plain(value):
 
 
 def _with_slices(df: DataFrame, keys: Sequence[str], rows: int, rows_per_task: int) -> DataFrame:
-    slices = max(2, min(MAX_SLICES, -(-rows // rows_per_task)))
+    slices = max(2, -(-rows // rows_per_task))
     fraction = min(1.0, slices * _SAMPLES_PER_SLICE / max(rows, 1))
     sample = df.select(*keys).sample(fraction=fraction, seed=7).orderBy(*keys).collect()
     step = max(1, len(sample) // slices)
@@ -140,10 +143,12 @@ def running(
     if size.largest_group <= rows_per_task:
         return _local(keyed, by, names, row_number, cumsum, previous, carry).drop(*names)
 
-    cut = _with_slices(keyed, [*by, *names], size.rows, rows_per_task)
+    groups = [f"__g{i}" for i in range(len(by))]  # group keys whose values can stand in the border constants
+    keyed = keyed.withColumns({g: _sortable(df, F.col(b)) for g, b in zip(groups, by)})
+    cut = _with_slices(keyed, [*groups, *names], size.rows, rows_per_task)
     local = _local(cut, [*by, _SLICE], names, row_number, cumsum, previous, carry)
     fixes = _corrections(cut, by, names, cumsum, previous, carry)
-    joined = _attach_small(local, fixes, [*by, _SLICE])
+    joined = _attach_small(local, fixes, [*by, _SLICE], -(-size.rows // rows_per_task))
     out = {}
     if row_number:
         out[row_number] = F.col(row_number) + F.coalesce(F.col("__before"), F.lit(0))
@@ -186,7 +191,7 @@ def _corrections(cut, by, names, cumsum, previous, carry) -> DataFrame:
         for n, c in carry.items()
     ]
     parts = cut.groupBy(*by, _SLICE).agg(*aggs)
-    # one row per (group, slice): a group has at most MAX_SLICES rows here
+    # one row per (group, slice): rows / rows per task of them at most for a group
     order = (W.partitionBy(*by) if by else W.partitionBy()).orderBy(_SLICE)
     before = order.rowsBetween(W.unboundedPreceding, -1)
     cols = {"__before": F.sum("__n").over(before)}
@@ -201,9 +206,14 @@ def _corrections(cut, by, names, cumsum, previous, carry) -> DataFrame:
     return fixed.filter(F.col("__before").isNotNull())
 
 
-def _attach_small(df: DataFrame, fixes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # at most MAX_SLICES - 1 rows: a border cuts at most one group
-    small = F.broadcast(fixes.withColumnsRenamed({k: f"__r_{k}" for k in keys}))
+# Corrections up to this number are broadcast; beyond it they are joined like any table.
+FEW_SLICES = 4096
+
+
+def _attach_small(df: DataFrame, fixes: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
+    # less rows than slices: a border cuts at most one group
+    small = fixes.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    small = F.broadcast(small) if slices <= FEW_SLICES else small
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
     return df.join(small, same, "left").drop(*[f"__r_{k}" for k in keys])
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import case_when, half_even
 from . import columns
 from .aggregates import share_within
-from .factors import code_of, level_lists
+from .factors import code_of, codes, level_lists, levels_sorted, many_levels
 from .keys import attach
 from .quantiles import quantiles
 from .rows import values_long
@@ -234,10 +234,18 @@ def _from_sums(sums: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def numbers_only(df: DataFrame) -> DataFrame:
-    """Text columns replaced by their 1-based level codes, in one projection."""
+    """Text columns replaced by their 1-based level codes.
+
+    Columns with few levels are coded in one projection, the others by a join with their levels; the codes are equal.
+    """
     texts = columns.textual(df)
-    levels = level_lists(df, texts)
-    return df.withColumns({n: code_of(F.col(n), levels[n]) for n in texts})
+    wide = many_levels(df, texts)
+    narrow = [n for n in texts if n not in wide]
+    levels = level_lists(df, narrow)
+    out = df.withColumns({n: code_of(F.col(n), levels[n]) for n in narrow})
+    for n in wide:
+        out = codes(out, n, levels_sorted(df, n)).withColumn(n, F.col(n).cast("double"))
+    return out.select(*df.columns)
 
 
 def correlation_with(df: DataFrame, target: str, order: bool = False, descending: bool = False) -> DataFrame:

@@ -130,7 +130,7 @@ def _label(data):
 def automl_leaderboard(t: Tables):
     """All families and their stack, ranked on rows that took no part in fitting."""
     train, _, test = _three_parts(_label(_documents(t)))
-    found = automl.search(train, "doc_id", FEATURES, "label", folds=5, budget_seconds=300)
+    found = automl.search(train, "doc_id", FEATURES, "label", folds=5)
     return automl.board(found, test, "doc_id", "label")
 
 
@@ -197,17 +197,25 @@ def model_registry(t: Tables):
 
 @query(
     """
-WITH d AS (SELECT CAST(n_chars AS DOUBLE) AS n_chars, CAST(doc_id AS DOUBLE) AS doc_id FROM documents),
+WITH d AS (SELECT CASE WHEN doc_id % 7 <> 0 THEN CAST(n_chars AS DOUBLE) END AS n_chars, CAST(doc_id AS DOUBLE) AS doc_id,
+                  CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang FROM documents),
 q AS (SELECT 'n_chars' AS feature, quantile_cont(n_chars, [0, 0.25, 0.5, 0.75, 1]) AS e FROM d
       UNION ALL SELECT 'doc_id', quantile_cont(doc_id, [0, 0.25, 0.5, 0.75, 1]) FROM d),
 b AS (SELECT feature, i AS bin, e[i + 1] AS lower, e[i + 2] AS upper FROM q, range(4) t(i)),
-v AS (SELECT 'n_chars' AS feature, n_chars AS v FROM d UNION ALL SELECT 'doc_id', doc_id FROM d)
-SELECT feature, CAST(bin AS INTEGER) AS bin, lower, upper,
-       CAST(count(v) FILTER (WHERE (v > lower OR bin = 0) AND v <= upper) AS BIGINT) AS n
-FROM b JOIN v USING (feature) GROUP BY 1, 2, 3, 4"""
+v AS (SELECT 'n_chars' AS feature, n_chars AS v FROM d UNION ALL SELECT 'doc_id', doc_id FROM d),
+c AS (SELECT feature, CAST(bin AS INTEGER) AS bin, lower, upper, NULL AS level,
+             CAST(count(v) FILTER (WHERE (v > lower OR bin = 0) AND v <= upper) AS BIGINT) AS n
+      FROM b JOIN v USING (feature) GROUP BY 1, 2, 3, 4
+      UNION ALL
+      SELECT 'lang', CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER), NULL, NULL, lang, count(*) FROM d WHERE lang IS NOT NULL GROUP BY lang)
+SELECT *, n / sum(n) OVER (PARTITION BY feature) AS share FROM c"""
 )
 def lime_explainer_bins(t: Tables):
-    return explain.explainer_table(t.documents.select("n_chars", "doc_id"), ["n_chars", "doc_id"])
+    """Bins with missing numbers and levels of a text feature."""
+    docs = t.documents.select(
+        F.when(F.col("doc_id") % 7 != 0, F.col("n_chars")).alias("n_chars"), "doc_id", F.when(F.col("doc_id") % 5 != 0, F.col("lang")).alias("lang")
+    )
+    return explain.explainer_table(docs, ["n_chars", "doc_id"], ["lang"])
 
 
 def _explained(t: Tables, cases: int = 20):

@@ -23,6 +23,17 @@ def test_every_sql_belongs_to_a_query():
     assert set(SQL) <= set(entry.queries())
 
 
+# The corpus queries have tests of their own.
+PLAIN = sorted(n for n in entry.queries() if n not in SQL and n != "pipeline" and not n.startswith("op"))
+
+
+@pytest.mark.parametrize("name", PLAIN)
+def test_query_without_sql_runs(spark, name):
+    spark.catalog.clearCache()
+    df = entry.queries()[name](spark, SF)
+    assert len(df.columns) > 0 and len(df.collect()) > 0
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_sql(spark, duck, name):
     spark.catalog.clearCache()
