@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 
 #: Learning rows: at most this many of a language, and this many in all.
 ROWS_PER_LANGUAGE, ROWS = 300, 3000
+#: Rows ranked for one that is taken.
+SPARE = 4
+#: Languages up to which the table of their row counts is broadcast; beyond it is joined.
+KINDS_SENT = 100_000
 BUCKETS = 2048
 LETTERS_AT_ONCE = 1 << 18
 UNKNOWN = "und"
@@ -107,14 +111,20 @@ def held_out(id_col: str, parts: int, part: int):
 def learning_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, out) -> DataFrame:
     """text and lang of a bounded sample in hash order, as many of each language.
 
+    Rows of a language are counted first; only those whose hash lies in the lowest part of the range, which holds some
+    ``SPARE`` times the rows wanted, are ranked, so no task ranks more than that however many rows a language has.
     The chosen ids are broadcast: there are ``ROWS`` of them at most, or one per language where there are more.
     """
     known = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~out)
-    kinds = known.select(F.countDistinct(lang_col)).first()[0]
+    counts = known.groupBy(F.col(lang_col).alias("__of")).agg(F.count("*").alias("__rows"))
+    kinds = counts.count()
+    counts = F.broadcast(counts) if kinds <= KINDS_SENT else counts
     most = max(1, min(ROWS_PER_LANGUAGE, ROWS // max(1, kinds)))
     narrow = known.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.xxhash64(id_col).alias("__hash"))
+    border = F.lit(-(2.0**63)) + F.lit(2.0**64 * SPARE * (most + 8)) / F.col("__rows")
+    low = narrow.join(counts, F.col("__lang") == F.col("__of")).filter(F.col("__hash").cast("double") <= border)
     nth = Window.partitionBy("__lang").orderBy("__hash", "__id")
-    chosen = narrow.withColumn("__n", F.row_number().over(nth)).filter(F.col("__n") <= most).select("__id").distinct()
+    chosen = low.withColumn("__n", F.row_number().over(nth)).filter(F.col("__n") <= most).select("__id").distinct()
     picked = known.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"), "left_semi")
     return picked.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).limit(2 * ROWS)
 
