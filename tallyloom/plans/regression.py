@@ -42,11 +42,18 @@ def top10_lines(t: Tables):
     return linear.best_by_rank(found, "dist", 10).select(*[F.round(c, 6).alias(c) for c in ("a1", "a2", "dist")], "rank")
 
 
-@query()
+@query(
+    f"""
+WITH lines AS (SELECT {split.draw_sql('id', 3)} * 300 + 800 AS a1, {split.draw_sql('id', 4)} * 10 - 5 AS a2 FROM range(250) t(id)),
+near AS (SELECT a1, a2, (SELECT sqrt(avg(pow(p_retailprice - (a1 + a2 * p_size), 2))) FROM part) AS dist FROM lines),
+ranked AS (SELECT *, rank() OVER (ORDER BY dist) + (count(*) OVER (PARTITION BY dist) - 1) / 2 AS rank FROM near)
+SELECT round(a1, 6) AS a1, round(a2, 6) AS a2, round(dist, 6) AS dist, CAST(rank AS DOUBLE) AS rank FROM ranked WHERE rank <= 10"""
+)
 def random_line_search(t: Tables):
     """250 random lines, the 10 nearest to the points."""
     lines = uniform_table(t.spark, 250, {"a1": (800, 1100), "a2": (-5, 5)}, seed=3)
-    return linear.best_by_rank(linear.line_search(t.part, "p_size", "p_retailprice", lines), "dist", 10)
+    found = linear.best_by_rank(linear.line_search(t.part, "p_size", "p_retailprice", lines), "dist", 10)
+    return found.select(*[F.round(c, 6).alias(c) for c in ("a1", "a2", "dist")], "rank")
 
 
 @query("SELECT round(sqrt(avg(pow(p_retailprice - (940 + 0.2 * p_size), 2))), 6) AS distance FROM part")
@@ -98,6 +105,32 @@ def ols_coefficients(t: Tables):
     return linear.coefficient_table(t.spark, linear.least_squares(baked, names, "p_retailprice"))
 
 
+# With one flag per type the slope is that of the deviations from the means of the types.
+_WITHIN = """
+m AS (SELECT p_type, count(*) AS n, avg(p_size) AS mx, avg(p_retailprice) AS my FROM part_rows GROUP BY 1),
+s AS (SELECT sum(pow(p_size - mx, 2)) AS sxx, sum((p_size - mx) * (p_retailprice - my)) / sum(pow(p_size - mx, 2)) AS b FROM part_rows JOIN m USING (p_type)),
+"""
+
+
+@query(
+    "WITH part_rows AS (SELECT * FROM part),"
+    + _WITHIN
+    + """
+e AS (SELECT sum(pow(p_retailprice - my - b * (p_size - mx), 2)) / (count(*) - (SELECT count(*) FROM m) - 1) AS s2 FROM part_rows JOIN m USING (p_type), s),
+f AS (SELECT n AS n1, mx AS mx1, my AS my1 FROM m ORDER BY p_type LIMIT 1),
+c AS (
+  SELECT '(Intercept)' AS term, my1 - b * mx1 AS estimate, sqrt(s2 * (1.0 / n1 + mx1 * mx1 / sxx)) AS std_error FROM f, s, e
+  UNION ALL SELECT 'p_size', b, sqrt(s2 / sxx) FROM s, e
+  UNION ALL SELECT 'p_type_' || p_type, my - my1 - b * (mx - mx1), sqrt(s2 * (1.0 / n + 1.0 / n1 + pow(mx - mx1, 2) / sxx))
+  FROM m, f, s, e WHERE p_type > (SELECT min(p_type) FROM m))
+SELECT term, round(estimate, 4) AS estimate, round(std_error, 5) AS std_error, round(estimate / std_error, 4) AS statistic FROM c"""
+)
+def ols_errors(t: Tables):
+    """Estimates with standard errors and test statistics of price on size and type."""
+    fitted = ols_coefficients(t)
+    return fitted.select("term", F.round("estimate", 4).alias("estimate"), F.round("std_error", 5).alias("std_error"), F.round("statistic", 4).alias("statistic"))
+
+
 _GROUP_LINE = """
 WITH f AS (SELECT l_returnflag, regr_intercept(l_extendedprice, l_quantity) AS a, regr_slope(l_extendedprice, l_quantity) AS b
            FROM lineitem GROUP BY 1)
@@ -220,7 +253,13 @@ def model_parameters(t: Tables):
     return joins.merge([models.parameters(t.spark, n, m) for n, m in fitted.items()])
 
 
-@query()
+@query(
+    f"WITH part_rows AS (SELECT * FROM part WHERE {split.draw_sql('p_partkey')} < 0.9),"
+    + _WITHIN
+    + f"""
+test AS (SELECT * FROM part WHERE {split.draw_sql('p_partkey')} >= 0.9)
+SELECT p_partkey, p_retailprice, round(my + b * (p_size - mx), 4) AS pred FROM test JOIN m USING (p_type), s"""
+)
 def workflow_predictions(t: Tables):
     """Feature stages and a model as one fitted object that scores raw rows."""
     parts = t.part.select("p_partkey", "p_type", "p_size", "p_retailprice")
@@ -231,4 +270,4 @@ def workflow_predictions(t: Tables):
     )
     price = models.regressors("p_retailprice", 2)["linear"]
     fitted = models.workflow(["p_size", "p_type_flags"], price, *stages).fit(train)
-    return fitted.transform(test).select("p_partkey", "p_retailprice", F.col("prediction").alias("pred"))
+    return fitted.transform(test).select("p_partkey", "p_retailprice", F.round("prediction", 4).alias("pred"))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.split import draw
+
 
 def dataset(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a folder of tables."""
@@ -73,15 +75,12 @@ def expand_steps(start: float, stop: float, length: int) -> list[float]:
 def uniform_table(spark: SparkSession, n: int, ranges: Mapping[str, tuple[float, float]], seed: int) -> DataFrame:
     """``n`` rows of independent uniform columns.
 
-    Values come from a hash of row number, column and seed, so a recomputed
-    partition yields the same numbers.
+    Values are draws of the row number, with a salt of its own for every column, so a recomputed partition yields the
+    same numbers.
     """
-    rows = spark.range(n)
-    return rows.select(
-        *[
-            (hash_uniform(F.col("id"), F.lit(name), F.lit(seed)) * F.lit(float(hi - lo)) + F.lit(float(lo))).alias(name)
-            for name, (lo, hi) in ranges.items()
-        ]
+    cells = enumerate(ranges.items())
+    return spark.range(n).select(
+        *[(draw(F.col("id"), seed + i) * F.lit(float(hi - lo)) + F.lit(float(lo))).alias(name) for i, (name, (lo, hi)) in cells]
     )
 
 
