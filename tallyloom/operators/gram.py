@@ -38,18 +38,18 @@ def unpack(row_xx: Sequence[float], width: int) -> np.ndarray:
 
 
 def independent(matrix: np.ndarray, tolerance: float = 1e-9) -> list[int]:
-    """Positions of columns that are not linear combinations of earlier ones."""
+    """Positions of columns that are not linear combinations of earlier ones.
+
+    One Cholesky factorisation for all columns: a column that is kept is taken out of the later ones, so the
+    diagonal holds what the kept columns do not explain.
+    """
+    rest = np.array(matrix, float)
     keep: list[int] = []
-    for i in range(matrix.shape[0]):
-        if matrix[i, i] <= 0:
-            continue
-        if keep:
-            inner, cross = matrix[np.ix_(keep, keep)], matrix[keep, i]
-            rest = matrix[i, i] - cross @ np.linalg.solve(inner, cross)
-        else:
-            rest = matrix[i, i]
-        if rest > tolerance * matrix[i, i]:
+    for i in range(len(rest)):
+        if rest[i, i] > tolerance * matrix[i, i] and matrix[i, i] > 0:
             keep.append(i)
+            row = rest[i, i + 1 :] / math.sqrt(rest[i, i])
+            rest[i + 1 :, i + 1 :] -= np.outer(row, row)
     return keep
 
 
