@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import ROWS_PER_TASK, running
+from .keys import sent
+from .ordering import ROWS_PER_TASK, measure, running
 
 BY = "model_id"
 
@@ -32,8 +33,10 @@ def _class_totals(counts: DataFrame) -> DataFrame:
 def threshold_table(scored: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Counts and rates for every distinct score used as threshold (score >= threshold is positive)."""
     counts = score_counts(scored)
-    up = running(counts, [BY], [-F.col("score")], cumsum={"__n": "n", "tps": "pos"}, rows_per_task=rows_per_task)
-    full = up.join(_class_totals(counts), BY)
+    size = measure(counts, [BY])
+    sums = {"__n": "n", "tps": "pos"}
+    up = running(counts, [BY], [-F.col("score")], cumsum=sums, rows_per_task=rows_per_task, size=size)
+    full = up.join(sent(_class_totals(counts), size.groups), BY)
     tps, fps = F.col("tps"), F.col("__n") - F.col("tps")
     tns, fns = F.col("n_all") - fps, F.col("p_all") - tps
     return full.select(
@@ -151,9 +154,14 @@ def leaderboard(scored: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFr
 
 
 def with_label(scored: DataFrame, best: DataFrame, no: str = "No", yes: str = "Yes") -> DataFrame:
-    """Predicted label and both probabilities, cut at the model's own best threshold."""
-    cut = best.select(BY, F.col("threshold").alias("__cut"))
-    joined = scored.join(cut, BY)
+    """Predicted label and both probabilities, cut at the model's own best threshold.
+
+    ``best`` has one row per model. The models of the scored rows are counted, and so few thresholds are broadcast
+    that no scored row is shuffled.
+    """
+    models = scored.select(BY).distinct()
+    cut = best.select(BY, F.col("threshold").alias("__cut")).join(models, BY, "left_semi")
+    joined = scored.join(sent(cut, models.count()), BY)
     return joined.select(
         *scored.columns,
         F.when(F.col("score") >= F.col("__cut"), yes).otherwise(no).alias("predict"),

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions.steps import how_many_reached
 from .evaluate import BY, score_counts
-from .ordering import ROWS_PER_TASK, ntile, running
+from .keys import sent
+from .ordering import ROWS_PER_TASK, measure, ntile, running
 from .reshape import lengthen
 
 # Shares of the data at which the finer table is cut.
@@ -52,12 +53,13 @@ def gain_lift(table: DataFrame) -> DataFrame:
 def fine_gain_lift(scored: DataFrame, fractions=FRACTIONS, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Gain and lift at fixed shares of the data; rows of equal score stay together."""
     counts = score_counts(scored)
-    up = running(counts, [BY], [-F.col("score")], cumsum={"__n": "n"}, rows_per_task=rows_per_task)
+    size = measure(counts, [BY])
+    up = running(counts, [BY], [-F.col("score")], cumsum={"__n": "n"}, rows_per_task=rows_per_task, size=size)
     totals = counts.groupBy(BY).agg(F.sum("n").alias("__all"))
     start = F.try_divide(F.col("__n") - F.col("n"), F.col("__all"))
     group = how_many_reached(fractions, start) + 1
     grouped = (
-        up.join(totals, BY)
+        up.join(sent(totals, size.groups), BY)
         .withColumn("group", group)
         .groupBy(BY, "group")
         .agg(F.sum("n").alias("cases"), F.sum("pos").alias("responses"), F.min("score").alias("lower_threshold"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from decimal import Decimal
 from functools import reduce
 
@@ -40,16 +40,31 @@ class Size:
 
     rows: int
     largest_group: int
+    groups: int | None = field(default=None, compare=False)
+
+
+@dataclass(frozen=True)
+class Order:
+    """A key of an order with its direction and the place of missing values."""
+
+    column: Column | str
+    descending: bool = False
+    missing_last: bool = False
+
+
+def down(column: Column | str, missing_last: bool = False) -> Order:
+    """Descending order for any type that can be sorted, text and dates included."""
+    return Order(column, True, missing_last)
 
 
 def measure(df: DataFrame, by: Sequence[str] = ()) -> Size:
     """Total rows and rows of the largest group, by one partial aggregate."""
     if not by:
         n = df.count()
-        return Size(n, n)
+        return Size(n, n, 1)
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("largest")).first()
-    return Size(row["rows"] or 0, row["largest"] or 0)
+    row = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("largest"), F.count(F.lit(1)).alias("groups")).first()
+    return Size(row["rows"] or 0, row["largest"] or 0, row["groups"])
 
 
 def _sortable(df: DataFrame, col: Column) -> Column:
@@ -69,6 +84,30 @@ def _sortable(df: DataFrame, col: Column) -> Column:
     return col
 
 
+def _reversed(kind: T.DataType, key: Column) -> Column:
+    """A key whose ascending order is the descending order of the given one."""
+    if isinstance(kind, T.StringType):
+        # complement of every digit; the mark at the end puts a text behind those it is the beginning of
+        return F.concat(F.translate(F.hex(key), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+    if isinstance(kind, T.BooleanType):
+        return ~key
+    if isinstance(kind, T.IntegralType):
+        return F.bitwise_not(key)  # unlike a changed sign it has no overflow
+    return -key
+
+
+def _order_keys(df: DataFrame, order: Sequence[Column | str | Order]) -> list[Column]:
+    keys = []
+    for o in order:
+        o = o if isinstance(o, Order) else Order(o)
+        col = F.col(o.column) if isinstance(o.column, str) else o.column
+        key = _sortable(df, col)
+        if o.missing_last:
+            keys.append(col.isNull())
+        keys.append(_reversed(df.select(key.alias("c")).schema["c"].dataType, key) if o.descending else key)
+    return keys
+
+
 def _constant(values, kind: str) -> Column:
     """Nested constant of any size as one literal (folded by the optimizer), not one expression per value."""
     return F.from_json(F.lit(json.dumps(values)), kind)
@@ -107,7 +146,7 @@ def _with_slices(df: DataFrame, keys: Sequence[str], rows: int, rows_per_task: i
 def running(
     df: DataFrame,
     by: Sequence[str],
-    order: Sequence[Column | str],
+    order: Sequence[Column | str | Order],
     *,
     row_number: str | None = None,
     cumsum: Mapping[str, str] | None = None,
@@ -124,8 +163,8 @@ def running(
     an input that is expensive to compute, since it is read more than once.
 
     ``order`` is ascending with missing values first (pass ``-col`` for
-    descending numbers) and should be unique within the group; equal rows are
-    taken in an arbitrary order.
+    descending numbers, ``down(col)`` for any type) and should be unique within
+    the group; equal rows are taken in an arbitrary order.
 
     * ``row_number``: name of the position column, from 1
     * ``cumsum``: new name -> column to add up, missing values skipped
@@ -134,9 +173,9 @@ def running(
     """
     cumsum, previous, carry = dict(cumsum or {}), dict(previous or {}), dict(carry or {})
     by = list(by)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    names = [f"__o{i}" for i in range(len(order_cols))]
-    keyed = df.withColumns({n: _sortable(df, c) for n, c in zip(names, order_cols)})
+    keys = _order_keys(df, order)
+    names = [f"__o{i}" for i in range(len(keys))]
+    keyed = df.withColumns(dict(zip(names, keys)))
     if bound is not None and bound <= rows_per_task:
         size = Size(bound, bound)
     size = size or measure(df, by)
@@ -243,7 +282,7 @@ def ntile(
     placed = running(df, by, order, row_number="__pos", rows_per_task=rows_per_task, size=size)
     if by:
         totals = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__total"))
-        placed = attach(placed, totals, by)
+        placed = attach(placed, totals, by, groups=size.groups)
     else:
         placed = placed.withColumn("__total", F.lit(size.rows).cast("long"))
     return placed.withColumn(name, ntile_of(F.col("__pos"), F.col("__total"), n)).drop("__pos", "__total")

@@ -3,26 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import columns
 from .ordering import ROWS_PER_TASK, running
 
 
+def is_complete(df: DataFrame, names: Sequence[str] | None = None) -> Column:
+    """Whether a row has no missing value; not-a-number counts as missing."""
+    wanted = [f for f in df.schema.fields if not names or f.name in names]
+    cells = [F.col(f"`{f.name}`").isNotNull() for f in wanted]
+    cells += [~F.isnan(f"`{f.name}`") for f in wanted if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return reduce(lambda a, b: a & b, cells, F.lit(True))
+
+
 def complete_cases(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Rows without missing values."""
-    return df.na.drop(subset=list(names) if names else None)
+    return df.filter(is_complete(df, names))
 
 
-def fill_numbers(df: DataFrame, value: float = 0) -> DataFrame:
-    return df.na.fill(value)
+def fill_numbers(df: DataFrame, value: float = 0, names: Sequence[str] | None = None) -> DataFrame:
+    return df.na.fill(value, list(names) if names else None)
 
 
-def fill_everything(df: DataFrame, value: int = -1) -> DataFrame:
+def fill_everything(df: DataFrame, value: int = -1, names: Sequence[str] | None = None) -> DataFrame:
     """Every missing cell becomes ``value``; text columns receive it as text."""
-    return df.na.fill(value).na.fill(str(value))
+    names = list(names) if names else None
+    return df.na.fill(value, names).na.fill(str(value), names)
 
 
 def carry_down(

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ordering import Size, average_rank, measure, ntile, running
+from tallyloom.operators.ordering import Size, average_rank, down, measure, ntile, running
 
 from .conftest import rows
 
@@ -86,3 +86,21 @@ def test_empty_frame(spark):
     assert measure(df, ["k"]) == Size(0, 0)
     assert running(df, ["k"], ["v"], row_number="pos").count() == 0
     assert ntile(df, [], ["v"], 4).count() == 0
+
+
+def test_descending_orders_of_any_type(spark):
+    texts = ["a", "ab", "", "b", "\u00e9", "aa", None]
+    df = spark.range(420).select(
+        "id",
+        F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("id") % 7 + 1).cast("int")).alias("t"),
+        F.when(F.col("id") % 11 > 0, F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 31).cast("int"))).alias("d"),
+        (F.col("id") % 2 == 0).alias("b"),
+        (F.col("id") % 5 / 2).alias("x"),
+    )
+    for last in (False, True):
+        order = [down("t", last), down("d", last), down("b"), down("x"), down("id")]
+        sides = [F.desc_nulls_last if last else F.desc_nulls_first] * 2 + [F.desc] * 3
+        sorted_ids = [r["id"] for r in df.orderBy(*[s(c) for s, c in zip(sides, "tdbx")], F.desc("id")).collect()]
+        for rows_per_task in (10**9, 20):
+            placed = running(df, [], order, row_number="pos", rows_per_task=rows_per_task)
+            assert [r["id"] for r in placed.orderBy("pos").collect()] == sorted_ids
