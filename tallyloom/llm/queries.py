@@ -134,8 +134,12 @@ def op7_top_k(table):
     """
 )
 def op8_mixing(table):
-    """Documents mixed to target weights of their sources."""
-    return mixing.mixed_documents(table("documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """Documents mixed to target weights of their sources, range-sorted by their place in the training order.
+
+    The columns are those of the SQL, which has no schedule; the positions show in the order of the rows.
+    """
+    mix = mixing.in_training_order(mixing.mixed_documents(table("documents")))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query()

@@ -202,6 +202,37 @@ def test_mixing(docs, none):
     assert ordered == sorted(ordered)
 
 
+def due(share, slope):
+    """Time at which a source has given out the share, by halving."""
+    lo, hi = 0.0, 1.0
+    for _ in range(60):
+        t = (lo + hi) / 2
+        lo, hi = (t, hi) if (1 - slope) * t + slope * t * t < share else (lo, t)
+    return hi
+
+
+def test_mixing_query_comes_in_the_order_of_inverted_schedules(spark):
+    import hashlib
+
+    from tallyloom.llm.queries import QUERIES
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    mix = {r.doc_id: r for r in mixing.mixed_documents(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    slope = {s: mixing.SLOPES[i % 3] for i, s in enumerate(sorted({r.source for r in rows}, key=lambda s: (s is None, s or "")))}
+    assert len(slope) > 1
+    want, begun = {}, dict.fromkeys(slope, 0)
+    for r in sorted(rows, key=lambda r: md5(f"{'' if r.doc_id is None else r.doc_id}/{md5(r.text or '')}")):
+        m = mix[r.doc_id]
+        want[r.doc_id] = due(min(1.0, begun[r.source] / m.target), slope[r.source]) if m.taken else 1.0
+        begun[r.source] += m["size"]
+    assert {i: r.position for i, r in mix.items()} == {i: pytest.approx(t, abs=1e-9) for i, t in want.items()}
+    query = QUERIES["op8_mixing"](spark, SF)
+    assert "rangepartitioning(position" in query._jdf.queryExecution().toString()
+    order = [want[r.doc_id] for r in query.collect()]
+    assert len(order) == len(rows) and all(a <= b + 1e-9 for a, b in zip(order, order[1:]))
+
+
 @pytest.mark.parametrize("sizes", [{"a": 100, "b": 100, "c": 100}, {"a": 1, "b": 1000, "c": 10}, {"a": 0, "b": 0}, {None: 5, "b": 50}])
 def test_targets_are_the_fixed_point_of_resharing(spark, sizes):
     out = {r.source: r for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
