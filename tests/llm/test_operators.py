@@ -319,6 +319,22 @@ def test_language(spark, docs, none):
     assert {r.lang_pred for r in language.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_learns_from_600_rows_each(spark):
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.when(F.col("id") % 5 == 0, "a").otherwise("b").alias("lang"))
+    found = language.learning_rows(rows, "doc_id", "text", "lang", F.lit(False)).groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in found} == {"a": 600, "b": 600} and language.ROWS == 6000
+
+
+def test_language_by_features_is_by_rows(monkeypatch):
+    draw = np.random.default_rng(4)
+    features = draw.random((90, 40)).astype(np.float32)
+    names = [("de", "en", "fr")[i] for i in draw.integers(0, 3, 90)]
+    model = language.fit(features, names)
+    wide = np.concatenate([features, np.zeros((90, 60), np.float32)], axis=1)  # more features than rows, none that says more
+    other = language.fit(wide, names)
+    assert np.allclose(model.weights, other.weights[:40], atol=1e-3) and np.allclose(model.bit_weight, other.bit_weight)
+
+
 @pytest.mark.parametrize("n", [2, 4, 7, 12, 40])
 def test_codewords_differ(n):
     book = language.codebook(n)
