@@ -33,16 +33,25 @@ class Encoder:
     Where a single space stands between two other characters, the pre-tokenizer always begins a token at that space.
     Such a text is cut there, and words met before are looked up. New words of a batch are encoded in one call; the
     place where each begins is seen from its first token, the only one that starts with a space.
+
+    With ``added`` the added tokens of the file are found in the text first and get their own id, as the tokenizer does
+    by itself; what stands between them is encoded apart. Without, they are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import json
         import re
 
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            file = json.load(f)
+        vocabulary = file["model"]["vocab"]
+        tokens = {t["content"]: t for t in file.get("added_tokens") or []} if added else {}
+        if any(t[k] for t in tokens.values() for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that look at their neighbours are not supported")
+        self.added = {content: np.array([t["id"]], "<u4").tobytes() for content, t in tokens.items()}
+        self.parts = re.compile("(" + "|".join(map(re.escape, sorted(tokens, key=len, reverse=True))) + ")").split if tokens else None
         # The file writes each byte as a printable character: itself, or the next free one from 256 on.
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         hidden = [b for b in range(256) if b not in plain]
@@ -58,6 +67,13 @@ class Encoder:
         return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if self.parts is None:
+            return self.ordinary(texts)
+        parts = [self.parts(t) for t in texts]  # added tokens stand at odd places
+        data = iter(self.ordinary([p for own in parts for p in own[::2]]))
+        return [b"".join(self.added[p] if k % 2 else next(data) for k, p in enumerate(own)) for own in parts]
+
+    def ordinary(self, texts: list[str]) -> list[bytes]:
         cut = [None if self.odd(t) else t.split(" ") for t in texts]
         if len(self.kept) > WORDS_KEPT:
             self.kept.clear()
@@ -89,7 +105,7 @@ PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.i
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, capacity: int, with_ids: bool) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]):
-        encode = Encoder(vocabulary)
+        encode = Encoder(vocabulary, added=True)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
@@ -238,7 +254,7 @@ def plan(counts: np.ndarray, capacity: int) -> dict[str, np.ndarray]:
 def packed(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, ids (binary, on request), sequence_id, offset: a row per piece.
 
-    A document is the ids of its text and the end id. Only documents above ``capacity`` are cut, into pieces of that
+    A document is the ids of its text and the end id. Added tokens of the file count as such where a text holds them. Only documents above ``capacity`` are cut, into pieces of that
     length of which the first may be shorter. A null or empty text is the end id alone. Rows that repeat an id are
     packed like any other; their pieces share ids. A null id stays null. An empty table gives an empty result. Other
     columns are not read. ``vocabulary`` is the path of a byte-level BPE tokenizer file (JSON) that every executor has.

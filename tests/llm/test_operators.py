@@ -274,6 +274,21 @@ def test_word_by_word_ids_are_those_of_the_tokenizer(text):
         assert np.frombuffer(d, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", " <|endoftext|><|endoftext|> x  <|endoftext|>  y", "it<|endoftext|>'s <|endoftext|", "no token  here ", ""]
+
+
+def test_added_tokens_get_their_own_id(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    encode = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
+    assert encode(ADDED[0]) == [64, 220, 50256, 275]
+    assert [np.frombuffer(d, "<u4").tolist() for d in packing.Encoder(VOCABULARY, added=True)(ADDED)] == [encode(t) for t in ADDED]
+    df = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    rows = [r.asDict() for r in packing.packed(df, VOCABULARY).collect()]
+    assert plain.packing_faults(rows, dict(enumerate(ADDED)), encode) == []
+
+
 def optimum(lengths, capacity):
     lengths, best = sorted(lengths, reverse=True), [len(lengths)]
 
