@@ -13,9 +13,10 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
+    LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
@@ -72,7 +73,7 @@ def network(model_id: str, n_features: int, label: str, hidden: Sequence[int] =
     )
 
 
-def candidates(n_features: int, label: str, trees: int = 20, rounds: int = 10, seed: int = 5) -> list[Candidate]:
+def candidates(n_features: int, label: str, trees: int = 50, rounds: int = 50, seed: int = 5) -> list[Candidate]:
     """Default families, quickest first so that a short budget still yields models."""
     common = {"featuresCol": "features", "labelCol": label}
     return [
@@ -80,9 +81,22 @@ def candidates(n_features: int, label: str, trees: int = 20, rounds: int = 10, s
         Candidate("DRF_1", RandomForestClassifier(**common, numTrees=trees, seed=seed, **columns_of("DRF_1"))),
         network("DeepLearning_1", n_features, label, seed=seed),
         _boosted("GBM_1", label, rounds, seed),
+        _support_vectors("SVC_1", label),
     ]
 
 
+def _support_vectors(model_id: str, label: str) -> Candidate:
+    """Linear support vectors; a logistic curve over the margin gives the probability."""
+    own = columns_of(model_id)
+    margin, cut = own["rawPredictionCol"], own["predictionCol"]
+    svc = LinearSVC(featuresCol="features", labelCol=label, regParam=0.01, rawPredictionCol=margin, predictionCol=f"m{cut}")
+    curve = LogisticRegression(
+        featuresCol=margin, labelCol=label, regParam=1e-4, rawPredictionCol=f"m{margin}", predictionCol=cut,
+        probabilityCol=own["probabilityCol"],
+    )
+    return Candidate(model_id, Pipeline(stages=[svc, curve]))
+
+
 def _boosted(model_id: str, label: str, rounds: int, seed: int) -> Candidate:
     own = columns_of(model_id)
     trees = GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds, seed=seed)
@@ -232,8 +246,9 @@ def board(found: Search, frame: DataFrame, key: str, label: str) -> DataFrame:
 
 
 def network_grid(
-    train: DataFrame, key: str, features: Sequence[str], label: str, hidden: Sequence[Sequence[int]],
-    epochs: Sequence[int], folds: int = 5, parallel: int = 6,
+    train: DataFrame, key: str, features: Sequence[str], label: str,
+    hidden: Sequence[Sequence[int]] = ((10, 10, 10), (50, 20, 10), (20, 20, 20)),
+    epochs: Sequence[int] = (10, 50, 100), folds: int = 5, parallel: int = 6,
 ) -> tuple[PipelineModel, list[tuple[str, int, float]]]:
     """Network size x epochs, cross-validated. Returns the best model and the sorted grid."""
     stages = prepare(train, features)

@@ -41,13 +41,13 @@ def total_ss(vectors: DataFrame) -> float:
     return float(sum(row["variance"])) * (row["count"] - 1)
 
 
-def kmeans(vectors: DataFrame, k: int, restarts: int = 3, seed: int = 1, max_iter: int = 20, totss: float | None = None) -> Clustering:
+def kmeans(vectors: DataFrame, k: int, restarts: int = 100, seed: int = 1, max_iter: int = 20, totss: float | None = None) -> Clustering:
     """Fit with several seeds and keep the smallest total within-cluster sum of squares."""
     return scan(vectors, [k], restarts, seed, max_iter, totss=totss)[0]
 
 
 def scan(
-    vectors: DataFrame, ks: Iterable[int], restarts: int = 3, seed: int = 1, max_iter: int = 20, parallel: int = 6,
+    vectors: DataFrame, ks: Iterable[int], restarts: int = 100, seed: int = 1, max_iter: int = 20, parallel: int = 6,
     totss: float | None = None,
 ) -> list[Clustering]:
     """Best clustering for every k. The vectors should be persisted.

@@ -28,7 +28,9 @@ def subset(wanted: int, n_features: int) -> str:
     return str(max(1, min(wanted, n_features)))
 
 
-def regressors(label: str, n_features: int, trees: int = 100, rounds: int = 20, seed: int = 11) -> dict[str, Estimator]:
+def regressors(
+    label: str, n_features: int, trees: int = 5000, rounds: int = 15, default_trees: int = 500, seed: int = 11
+) -> dict[str, Estimator]:
     """The compared families with their fixed settings."""
     common = {"labelCol": label, "featuresCol": "features"}
     return {
@@ -38,7 +40,7 @@ def regressors(label: str, n_features: int, trees: int = 100, rounds: int = 20,
         "forest": RandomForestRegressor(
             **common, numTrees=trees, minInstancesPerNode=10, featureSubsetStrategy=subset(8, n_features), seed=seed
         ),
-        "forest_default": RandomForestRegressor(**common, seed=seed),
+        "forest_default": RandomForestRegressor(**common, numTrees=default_trees, seed=seed),
         "boosted": GBTRegressor(
             **common, maxIter=rounds, stepSize=0.25, maxDepth=7, featureSubsetStrategy=subset(30, n_features), seed=seed
         ),

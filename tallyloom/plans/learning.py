@@ -50,19 +50,20 @@ def total_sum_of_squares(t: Tables):
 
 
 @query()
-def kmeans_scree(t: Tables):
-    """Total within-cluster sum of squares for k = 1..15, best of two restarts."""
+def kmeans_scree(t: Tables, scans=((range(1, 16), 100), (range(16, 31), 20))):
+    """Total within-cluster sum of squares: k = 1..15 with 100 restarts, on to k = 30 with 20."""
     vectors = _vectors(t)
-    found = cluster.scan(vectors, range(1, 16), restarts=2)
+    total = cluster.total_ss(vectors)
+    found = [c for ks, restarts in scans for c in cluster.scan(vectors, ks, restarts, totss=total)]
     vectors.unpersist()
     return cluster.scree_table(t.spark, found)
 
 
 @query()
-def kmeans_best_restart(t: Tables):
-    """Centers, sizes and sums of squares of the best of five restarts."""
+def kmeans_best_restart(t: Tables, restarts: int = 100):
+    """Centers, sizes and sums of squares of the best restart."""
     vectors = _vectors(t)
-    best = cluster.kmeans(vectors, 3, restarts=5)
+    best = cluster.kmeans(vectors, 3, restarts)
     return cluster.centers_table(t.spark, cluster.assign(vectors, best.model), best.model)
 
 
@@ -72,12 +73,12 @@ def project_2d(t: Tables):
 
 
 @query()
-def segments_joined(t: Tables):
+def segments_joined(t: Tables, restarts: int = 20):
     """Users clustered by their daily returns: projection, cluster and user attributes."""
     returns = daily_returns(t.events)
     vectors, _ = reshape.user_item_vectors(returns, "user_id", "day", "pct_return")
     vectors = vectors.persist()
-    best = cluster.kmeans(vectors, 4, restarts=3)
+    best = cluster.kmeans(vectors, 4, restarts)
     about = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("mean_value"))
     return cluster.segments(vectors, best.model, "user_id", about)
 
@@ -127,10 +128,11 @@ def _label(data):
 
 
 @query()
-def automl_leaderboard(t: Tables):
+def automl_leaderboard(t: Tables, **sizes: int):
     """All families and their stack, ranked on rows that took no part in fitting."""
     train, _, test = _three_parts(_label(_documents(t)))
-    found = automl.search(train, "doc_id", FEATURES, "label", folds=5)
+    wanted = automl.candidates(len(FEATURES), "label", **sizes)
+    found = automl.search(train, "doc_id", FEATURES, "label", folds=5, wanted=wanted)
     return automl.board(found, test, "doc_id", "label")
 
 
@@ -153,13 +155,19 @@ def mlp(t: Tables):
     return evaluate.with_label(scored, evaluate.best_threshold(evaluate.threshold_table(scored)))
 
 
+#: Network sizes and numbers of epochs of the two searches.
+GRIDS = (
+    (((10, 10), (20, 20), (30, 30)), (10, 20, 30)),
+    (((10, 10, 10), (50, 20, 10), (20, 20, 20)), (10, 50, 100)),
+)
+
+
 @query()
-def grid_search(t: Tables):
-    """Three network sizes by three numbers of epochs, five folds, best first."""
+def grid_search(t: Tables, grids=GRIDS):
+    """Network sizes by numbers of epochs of both grids, five folds, best first."""
     train, _, _ = _three_parts(_label(_documents(t)))
-    _, rows = automl.network_grid(
-        train, "doc_id", FEATURES, "label", hidden=[(10,), (10, 10), (20, 10)], epochs=[10, 20, 30]
-    )
+    rows = [r for hidden, epochs in grids for r in automl.network_grid(train, "doc_id", FEATURES, "label", hidden, epochs)[1]]
+    rows.sort(key=lambda r: (-r[2], r[0], r[1]))
     return t.spark.createDataFrame(rows, "hidden string, epochs int, cv_auc double")
 
 

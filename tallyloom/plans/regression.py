@@ -201,34 +201,34 @@ def _features(baked):
     return [c for c in baked.columns if c not in ("p_partkey", "p_retailprice")]
 
 
-def _fit(t: Tables, *names: str):
+def _fit(t: Tables, *names: str, **sizes: int):
     baked = _baked(t)
     features = _features(baked)
-    chosen = models.regressors("p_retailprice", len(features), trees=20, rounds=5)
+    chosen = models.regressors("p_retailprice", len(features), **sizes)
     train, _ = split.parts(baked, "p_partkey", 0.9)
     return baked, features, models.fit_all(train, features, "p_retailprice", {n: chosen[n] for n in names})
 
 
 @query()
-def elastic_net(t: Tables):
+def elastic_net(t: Tables, **sizes: int):
     """Coefficients under the mixed penalty, largest first."""
-    _, features, fitted = _fit(t, "elastic_net")
+    _, features, fitted = _fit(t, "elastic_net", **sizes)
     return models.coefficients(t.spark, fitted["elastic_net"], features)
 
 
 @query()
-def importance(t: Tables):
+def importance(t: Tables, **sizes: int):
     """Variable importance of the tree families."""
     names = ("tree", "forest", "boosted")
-    _, features, fitted = _fit(t, *names)
+    _, features, fitted = _fit(t, *names, **sizes)
     tables = [models.importance(t.spark, fitted[n], features).withColumn("model_id", F.lit(n)) for n in names]
     return joins.merge(tables)
 
 
 @query()
-def all_models(t: Tables):
+def all_models(t: Tables, **sizes: int):
     """Held-out metrics of every family in one long table."""
-    baked, _, fitted = _fit(t, "linear", "elastic_net", "tree", "forest", "forest_default", "boosted")
+    baked, _, fitted = _fit(t, "linear", "elastic_net", "tree", "forest", "forest_default", "boosted", **sizes)
     _, test = split.parts(baked, "p_partkey", 0.9)
     return models.metrics_all(fitted, test, "p_retailprice")
 

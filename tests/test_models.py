@@ -230,3 +230,56 @@ def test_explanation_recovers_a_known_linear_model(spark, two_class):
 def test_explainer_bins_count_all_rows(two_class):
     t = explain.explainer_table(two_class, ["u", "v"])
     assert {r.feature: r.n for r in t.groupBy("feature").agg(F.sum("n").alias("n")).collect()} == {"u": 600, "v": 600}
+
+
+def test_registered_sizes_are_those_of_the_reference(spark, monkeypatch):
+    """Full sizes by default, fewer only by argument."""
+    from tallyloom.plans import learning, regression
+    from tallyloom.plans.registration import Tables
+
+    full = models.regressors("y", 40)
+    assert (full["forest"].getNumTrees(), full["forest_default"].getNumTrees(), full["boosted"].getMaxIter()) == (5000, 500, 15)
+    names = [c.model_id for c in automl.candidates(2, "label")]
+    assert "SVC_1" in names and automl.candidates(2, "label")[1].estimator.getNumTrees() == 50
+
+    class Seen(Exception):
+        pass
+
+    seen = []
+
+    def scan(vectors, ks, restarts=100, *a, **b):
+        seen.append((list(ks), restarts))
+        return []
+
+    def grid(train, key, features, label, hidden, epochs, **b):
+        seen.append((list(hidden), list(epochs)))
+        return None, []
+
+    def fit_all(train, features, label, estimators):
+        raise Seen({n: e for n, e in estimators.items()})
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(cluster, "scan", scan)
+    monkeypatch.setattr(automl, "network_grid", grid)
+    monkeypatch.setattr(models, "fit_all", fit_all)
+    learning.kmeans_scree(t)
+    for run in (learning.kmeans_best_restart, learning.segments_joined):
+        with pytest.raises(IndexError):
+            run(t)
+    learning.grid_search(t)
+    assert seen == [
+        (list(range(1, 16)), 100), (list(range(16, 31)), 20), ([3], 100), ([4], 20),
+        ([(10, 10), (20, 20), (30, 30)], [10, 20, 30]), ([(10, 10, 10), (50, 20, 10), (20, 20, 20)], [10, 50, 100]),
+    ]
+    for sizes, trees in (({}, 5000), ({"trees": 3}, 3)):
+        with pytest.raises(Seen) as got:
+            regression.all_models(t, **sizes)
+        assert got.value.args[0]["forest"].getNumTrees() == trees
+
+
+def test_support_vectors_join_the_search(two_class, spark):
+    wanted = [c for c in automl.candidates(2, "label") if c.model_id in ("GLM_1", "SVC_1")]
+    found = automl.search(two_class, "id", ["u", "v"], "label", folds=2, wanted=wanted)
+    assert set(found.models) == {"GLM_1", "SVC_1", automl.STACKED}
+    scores = automl.score(found.models, two_class, "id", "label").filter("model_id = 'SVC_1'").collect()
+    assert all(0 <= r.score <= 1 for r in scores) and dict((m, a) for m, a, _ in found.cross_validation)["SVC_1"] > 0.7
