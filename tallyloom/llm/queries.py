@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_grid, language, mixing, packing, simhash, substring_cover, suffix_dedup, topk, toxicity, warc
+from . import embed_grid, language, mixing, multiset_hash, packing, periodic_runs, simhash, substring_cover, suffix_dedup, topk, toxicity, variants, warc
+from .sql import CRC_TABLE, crc32
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +153,60 @@ def op9_packing(table):
 def op10_toxicity(table):
     """Toxicity of every text."""
     return toxicity.score(table("documents"), table("labels"))
+
+
+@query()
+def op11_multiset_hash(table):
+    """Multiset-hash fingerprints of all texts, their edited forms and their neighbours."""
+    return multiset_hash.fingerprints(table("documents"))
+
+
+@query(
+    f"""
+    WITH RECURSIVE {CRC_TABLE},
+    f AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+    g AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM f WHERE length(run) >= 5 GROUP BY ALL),
+    h AS (SELECT run, n, {crc32("id || ':' || run")} AS h FROM g, crc),
+    c AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, n FROM h),
+    w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM c WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+    p AS (SELECT a.word AS a, b.word AS b FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+          UNION SELECT d.word, w.word FROM d JOIN w ON d.rest = w.word UNION SELECT w.word, d.word FROM d JOIN w ON d.rest = w.word),
+    m AS (SELECT p.a, count(*) AS n_near, max(w.n) AS best_n, min_by(p.b, (-w.n, p.b)) AS best FROM p JOIN w ON w.word = p.b GROUP BY p.a),
+    v AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form, CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+          FROM w LEFT JOIN m ON m.a = w.word),
+    r AS (SELECT word, word AS root FROM v UNION ALL SELECT r.word, v.form FROM r JOIN v ON v.word = r.root WHERE v.form IS NOT NULL),
+    e AS (SELECT r.word, r.root FROM r JOIN v ON v.word = r.root WHERE v.form IS NULL)
+    SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM v JOIN e USING (word)
+    """
+)
+def op12_variants(table):
+    """Words of all texts with the more frequent word that each is a spelling variant of."""
+    return variants.grouped(table("documents"))
+
+
+@query(
+    rf"""
+    WITH {CRC_TABLE},
+    d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, {crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents, crc),
+    e AS (SELECT doc_id, ws, len(ws) AS n, h, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) ELSE len(ws) END AS a FROM d),
+    k AS (SELECT doc_id, n, CASE WHEN a = n THEN ws ELSE list_transform(range(n), lambda i: ws[CAST(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END AS BIGINT) + 1]) END AS ws FROM e),
+    w AS (SELECT doc_id, n, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM k),
+    s AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM w x JOIN w y ON x.doc_id IS NOT DISTINCT FROM y.doc_id AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+    b AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM s),
+    u AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM b GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+    r AS (SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(min(q) AS BIGINT) AS period FROM u GROUP BY ALL),
+    best AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / CAST(period AS DOUBLE) DESC, start, period) = 1),
+    t AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM r GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+    c AS (SELECT w.doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY w.doc_id)
+    SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+           sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM d LEFT JOIN t USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN c USING (doc_id)
+    """
+)
+def op13_periodic_runs(table):
+    """Periodic runs of words, after one document in ten was made to repeat a stretch."""
+    out = periodic_runs.periodic_runs(table("documents"), edited=True)
+    return out.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", periodic_runs.digest_of(F.col("runs")).alias("runs_sha256"),
+                      F.sha2("collapsed", 256).alias("collapsed_sha256"))
