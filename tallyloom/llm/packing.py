@@ -23,6 +23,8 @@ END = 2
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIAL = {"<|endoftext|>"}
 CAPACITY = 1024
+#: Blanks in a row beyond which a text goes to the tokenizer library.
+BLANKS = 4096
 #: Distinct words whose ids a task remembers; then it starts anew.
 WORDS_KEPT = 400_000
 
@@ -31,7 +33,8 @@ class Encoder:
     """Ids of a byte-level BPE vocabulary, word by word.
 
     Where a single space stands between two other characters, the pre-tokenizer always begins a token at that space.
-    Such a text is cut there, and words met before are looked up. New words of a batch are encoded in one call; the
+    Such a text is cut there, and words met before are looked up. Texts with very long runs of blanks, which overflow the
+    stack of the fast encoder, go to the tokenizer library itself. New words of a batch are encoded in one call; the
     place where each begins is seen from its first token, the only one that starts with a space.
 
     With ``added`` the added tokens of the file are found in the text first and get their own id, as the tokenizer does
@@ -62,10 +65,22 @@ class Encoder:
         self.spaced[[i for token, i in ranks.items() if token[:1] == b" "]] = True
         self.odd = re.compile(r" (?!\S)|(?<!\S) ").search
         self.kept: dict[str, bytes] = {}
+        self.path, self.slow = path, None
+        self.blank = re.compile(r"\s{%d}" % BLANKS).search
 
     def whole(self, text: str) -> bytes:
+        if len(text) >= BLANKS and self.blank(text):
+            return self.by_library(text)
         return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
+    def by_library(self, text: str) -> bytes:
+        if self.slow is None:
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_file(self.path)
+            self.slow.encode_special_tokens = True  # added tokens were taken out before, or are ordinary text
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if self.parts is None:
             return self.ordinary(texts)
