@@ -19,7 +19,7 @@ TILE = 256
 FAN = 16
 LONG = (1 << 63) - 1
 
-SENT_SQL = "shard int, kind byte, dim int, ids binary, data binary"
+SENT_SQL = "shard int, kind byte, tile long, dim int, ids binary, data binary"
 LISTS_SQL = "tile long, node int, queries binary, places binary, ids binary, scores binary"
 
 
@@ -76,7 +76,7 @@ def visited(batches: Iterator[pa.RecordBatch], k: int):
     """Shards come first in a partition, then the tiles of queries stream by."""
     shards: list[tuple[int, np.ndarray, np.ndarray]] = []
     for batch in batches:
-        for shard, kind, dim, ids, data in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), batch.column(4)):
+        for shard, kind, tile, dim, ids, data in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), batch.column(5)):
             ids = np.frombuffer(ids.as_py(), np.int64)
             m = np.frombuffer(data.as_py(), np.float64).reshape(-1, dim)
             if kind == 0:
@@ -98,14 +98,7 @@ def visited(batches: Iterator[pa.RecordBatch], k: int):
                     out_i.append(own[pick])
                     out_s.append(s[pick])
                     places.append(np.full(len(pick), q, np.int32))
-                yield list_row(tile_number(ids), shard, ids, places, out_i, out_s)
-
-
-def tile_number(ids: np.ndarray) -> int:
-    """Names a tile by its queries."""
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(ids.tobytes()) - (1 << 63)
+                yield list_row(tile, shard, ids, places, out_i, out_s)
 
 
 def list_row(tile, node, queries, places, ids, scores) -> pa.RecordBatch:
@@ -146,15 +139,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
 
         for dim, ids, m in matrices(batches, scale, SHARD):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([0], pa.int8()), pa.array([dim], pa.int32()), pa.array([ids.tobytes()]),
-                 pa.array([m.tobytes()])], names=["shard", "kind", "dim", "ids", "data"])
+                [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([0], pa.int8()), pa.array([0], pa.int64()), pa.array([dim], pa.int32()),
+                 pa.array([ids.tobytes()]), pa.array([m.tobytes()])], names=["shard", "kind", "tile", "dim", "ids", "data"])
 
     def tile_rows(batches):
+        from pyspark import TaskContext
+
+        tile = TaskContext.get().partitionId() << 32  # a tile is named by its partition and its number there
         for dim, ids, m in matrices(batches, scale, TILE):
             for at in range(0, len(ids), TILE):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([0], pa.int32()), pa.array([1], pa.int8()), pa.array([dim], pa.int32()), pa.array([ids[at : at + TILE].tobytes()]),
-                     pa.array([m[at : at + TILE].tobytes()])], names=["shard", "kind", "dim", "ids", "data"])
+                    [pa.array([0], pa.int32()), pa.array([1], pa.int8()), pa.array([tile], pa.int64()), pa.array([dim], pa.int32()),
+                     pa.array([ids[at : at + TILE].tobytes()]), pa.array([m[at : at + TILE].tobytes()])], names=["shard", "kind", "tile", "dim", "ids", "data"])
+                tile += 1
 
     dealt = rows.withColumn("to", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).repartitionById(shards, F.col("to")).drop("to")
     held = dealt.mapInArrow(shard_rows, SENT_SQL)
