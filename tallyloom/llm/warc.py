@@ -20,11 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import stored
+from .common import parts_for, stored
 
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 28
 LEAST_REVISIT = 100
+#: Tasks over which the copies of one payload are spread.
+SALTS = 32
 # Fixed values of the seekable format and of the WARC format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -141,7 +143,10 @@ def marked(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
     large = rows.filter(F.octet_length("html") >= LEAST_REVISIT)
     again = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select(F.col("digest").alias("d"), "first")
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return rows.join(again, F.col("digest") == F.col("d"), "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
+    # A page that very many rows repeat is spread over several tasks.
+    again = again.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    return rows.join(again, (F.col("digest") == F.col("d")) & (F.col("salt") == F.col("s")), "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
 
 
 def write_bundles(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -214,8 +219,9 @@ def read_bundles(manifest: DataFrame, folder: str) -> DataFrame:
         if reader:
             reader.close()
 
-    # Records of a frame stay together, so it is read once; a bundle may be read by many tasks.
-    return manifest.repartition(F.col("bundle"), F.col("frame")).sortWithinPartitions("bundle", "frame", "place").mapInArrow(work, READ_SQL)
+    # Records of a frame stay together, so it is read once; a bundle is read by as many tasks as its payloads ask for.
+    tasks = parts_for(manifest.agg(F.sum("size")).first()[0])
+    return manifest.repartition(tasks, F.col("bundle"), F.col("frame")).sortWithinPartitions("bundle", "frame", "place").mapInArrow(work, READ_SQL)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
