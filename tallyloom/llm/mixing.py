@@ -1,7 +1,7 @@
 """Mixing sources to target weights as a time-varying curriculum, with DataFrame functions only.
 
 The weight of a source changes in the course of training: at time t in [0, 1] source s asks for tokens at the rate
-w_s * (1 + g_s * (2 t - 1)). Its integral over the whole run is w_s, so the schedule moves tokens in time and leaves
+w_s * (1 + g_s * (2 t - 1)) with a slope g_s in [-1, 1]. Its integral over the whole run is w_s, so the schedule moves tokens in time and leaves
 the totals alone. By time t a source has given out the share (1 - g) t + g t^2 of its target. A document that begins
 after c tokens of its source is due when that share equals c / target; inverting the square gives its position.
 Positions of all documents of all sources make one order, by which the documents are range-sorted.
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ranked
+from .common import keyed, ranked, stored
 
 WEIGHTS = (5, 2, 1)
 #: Slope of the schedule by place in the cycle of weights: heavy sources early, light ones late.
@@ -20,7 +20,7 @@ SLOPES = (-0.5, 0.0, 0.5)
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:
+def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = 1.5, cap: float = 2.0, slopes: tuple = SLOPES) -> DataFrame:
     """(source, source_size) with weight, slope and target.
 
     Targets share ``share`` times all sizes by weight. None exceeds ``cap`` times its size; what is above goes to the
@@ -31,7 +31,7 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = 1.5, cap:
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     placed = sizes.withColumn("__n", F.row_number().over(by_name) - 1)
     pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (F.col("__n") % len(values) + 1).cast("int"))
-    rated = placed.withColumn("weight", pick([float(w) for w in weights])).withColumn("slope", pick([SLOPES[i % len(SLOPES)] for i in range(len(weights))]))
+    rated = placed.withColumn("weight", pick([float(w) for w in weights])).withColumn("slope", pick([float(g) for g in slopes]))
     full = rated.withColumn("__cap", F.lit(cap) * F.col("source_size")).withColumn("__ratio", F.col("__cap") / F.col("weight"))
     order = Window.orderBy("__ratio", "__n")
     before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
@@ -45,7 +45,7 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = 1.5, cap:
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                    weights: tuple = WEIGHTS, share: float = 1.5, cap: float = 2.0, carry: tuple = ()) -> DataFrame:
+                    weights: tuple = WEIGHTS, share: float = 1.5, cap: float = 2.0, carry: tuple = (), slopes: tuple = SLOPES) -> DataFrame:
     """A row per input row: doc_id, source, size, source_size, target, taken and position, then the carried columns.
 
     taken: words the mix takes of the document, repeats counted. Documents of a source come in the order of a hash of
@@ -58,12 +58,14 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     named = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("/"), F.md5(text.cast("binary")))
-    sized = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.md5(named.cast("binary")).alias("__md5"),
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)],
-    )
+    # Texts are read once: what follows works on narrow rows. Carried columns come back by a key in the end.
+    rows = keyed(docs, id_col, text_col)[0] if carry else docs.withColumn("__key", F.lit(0))
+    sized = stored(rows.select(
+        "__key", F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.md5(named.cast("binary")).alias("__md5"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+    ), "sizes")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    wanted = targets(per_source, weights, share, cap).withColumnRenamed("source", "__source")
+    wanted = targets(per_source, weights, share, cap, slopes).withColumnRenamed("source", "__source")
     begun = ranked(sized, ["source"], ["__md5"], "size", "__begin")
     met = begun.join(wanted, F.col("source").eqNullSafe(F.col("__source")))
     whole = F.floor(F.col("target") + 0.5)
@@ -75,6 +77,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # (1 - g) t + g t^2 = reached, for g = 0 the share itself
     curve = (F.sqrt((1 - g) * (1 - g) + 4 * g * reached) - (1 - g)) / (2 * F.when(g == 0, F.lit(1.0)).otherwise(g))
     out = met.withColumn("taken", taken)
+    if carry:
+        own = rows.select(F.col("__key").alias("__k"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
+        out = out.join(own, F.col("__key") == F.col("__k"))
     return out.withColumn("position", F.when(F.col("taken") == 0, F.lit(1.0)).when(g == 0, reached).otherwise(curve)).select(
         "doc_id", "source", "size", "source_size", "target", "taken", "position", *[f"c{i}" for i in range(len(carry))])
 

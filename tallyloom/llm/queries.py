@@ -126,21 +126,23 @@ def op7_top_k(table):
                      - coalesce(sum(most) OVER (ORDER BY ratio, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
                     / sum(weight) OVER (ORDER BY ratio, n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r),
     f AS (SELECT level FROM l WHERE level <= ratio ORDER BY ratio, n LIMIT 1),
-    t AS (SELECT source, source_size, coalesce(least(most, (SELECT level FROM f) * weight), most) AS target FROM r),
+    t AS (SELECT source, source_size, coalesce(least(most, (SELECT level FROM f) * weight), most) AS target,
+                 CASE n % 3 WHEN 0 THEN -0.5::DOUBLE WHEN 1 THEN 0.0::DOUBLE ELSE 0.5::DOUBLE END AS g FROM r),
     q AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS whole, CAST(floor(target + 0.5) AS BIGINT) // greatest(source_size, 1) AS passes FROM t),
-    b AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun FROM d)
-    SELECT b.doc_id, b.size, q.source_size, q.target,
-           CAST(q.passes * b.size + greatest(0, least(b.size, q.whole - q.passes * q.source_size - b.begun)) AS BIGINT) AS taken
-    FROM b JOIN q ON b.source IS NOT DISTINCT FROM q.source
+    b AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun FROM d),
+    m AS (SELECT b.doc_id, b.size, q.source_size, q.target, q.g,
+                 CAST(q.passes * b.size + greatest(0, least(b.size, q.whole - q.passes * q.source_size - b.begun)) AS BIGINT) AS taken,
+                 least(1.0::DOUBLE, coalesce(CAST(b.begun AS DOUBLE) / nullif(q.target, 0), 1.0::DOUBLE)) AS due
+          FROM b JOIN q ON b.source IS NOT DISTINCT FROM q.source)
+    SELECT doc_id, size, source_size, target, taken,
+           CASE WHEN taken = 0 THEN 1.0::DOUBLE WHEN g = 0 THEN due ELSE (sqrt((1 - g) * (1 - g) + 4 * g * due) - (1 - g)) / (2 * g) END AS position
+    FROM m
     """
 )
 def op8_mixing(table):
-    """Documents mixed to target weights of their sources, range-sorted by their place in the training order.
-
-    The columns are those of the SQL, which has no schedule; the positions show in the order of the rows.
-    """
+    """Documents mixed to target weights of their sources, range-sorted by their place in the training order."""
     mix = mixing.in_training_order(mixing.mixed_documents(table("documents")))
-    return mix.select("doc_id", "size", "source_size", "target", "taken")
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
 @query()
