@@ -3,6 +3,10 @@
 Every language has a codeword of bits. One binary classifier per bit, over hashed byte n-grams, predicts the bit of a
 text; decoding picks the language whose codeword has the least loss, each bit weighted by how well its classifier did
 on rows left out. A small lead over the second language flags the text as ambiguous.
+
+Codes always name a learned language. Whether the text is written in any of them at all is told apart: ``unfamiliar``
+marks a text whose n-grams are far less likely than those of the learning rows, whatever language they are of, so a text
+of several learned languages is familiar. Texts of symbols with hardly a letter are unfamiliar too.
 """
 
 from __future__ import annotations
@@ -24,6 +28,11 @@ KINDS_SENT = 100_000
 BUCKETS = 2048
 LETTERS_AT_ONCE = 1 << 18
 UNKNOWN = "und"
+#: A text is unfamiliar if its n-grams are, in the mean of the logarithm, this much less likely than those of all but one in
+#: a thousand learning rows; short texts get more room, the second figure by the root of their letters.
+STRANGE, STRANGE_SHORT = 1.0, 8.0
+#: Least share of letters in the bytes that are no blanks.
+LETTERS_SHARE = 0.05
 
 # Letters A-Z in lower case, other ASCII characters as blanks; bytes of other characters stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -70,6 +79,13 @@ class Model:
     bias: np.ndarray
     bit_weight: np.ndarray
     lead: float
+    surprise: np.ndarray  # of every feature: minus the logarithm of its mean share over the languages
+    familiar: float
+
+    def unfamiliar(self, features: np.ndarray, letters: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Whether rows are of no learned language; with their numbers of letter bytes and of other bytes but blanks."""
+        allowed = self.familiar + STRANGE + STRANGE_SHORT / np.sqrt(np.maximum(letters, 1))
+        return (np.square(features) @ self.surprise > allowed) | (letters < LETTERS_SHARE * (letters + others))
 
     def predict(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Language number, score in [0, 1] and ambiguity of every row."""
@@ -106,7 +122,14 @@ def fit(features: np.ndarray, languages: list[str], ridge: float = 0.01, lead: f
         left_out = y - dual / np.diag(inverse)[:, None]
     right = (np.sign(left_out) == y).mean(axis=0)
     bit_weight = np.maximum(2 * right - 1, 1e-3)
-    return Model(names, book, weights.astype(np.float32), (centre - middle @ weights).astype(np.float32), bit_weight / bit_weight.sum(), lead)
+    share = np.zeros(features.shape[1])
+    for name in names:
+        own = np.flatnonzero(np.array(languages) == name)
+        share += np.einsum("ij,ij->j", features[own], features[own]) / len(own) / len(names)
+    surprise = -np.log(share + 1e-6)
+    familiar = float(np.quantile(np.concatenate([np.square(features[at : at + 512]) @ surprise for at in range(0, len(features), 512)]), 0.999))
+    return Model(names, book, weights.astype(np.float32), (centre - middle @ weights).astype(np.float32), bit_weight / bit_weight.sum(), lead,
+                 surprise.astype(np.float32), familiar)
 
 
 def by_features(features: np.ndarray, middle: np.ndarray, y: np.ndarray, centred: np.ndarray, ridge: float, step: int = 512):
@@ -179,15 +202,22 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, out) -> Mo
     return fit(features, languages)
 
 
+def letters_of(text: bytes) -> tuple[int, int]:
+    """Bytes of letters, and other bytes that are no blanks."""
+    blanks = len(text) - len(b"".join(text.split()))
+    letters = len(text) - text.translate(FOLD).count(b" ")
+    return letters, len(text) - blanks - letters
+
+
 def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text[:200])) or any(map(str.isalpha, text))
 
 
-PREDICTED_SQL = "lang_pred string, score double, ambiguous boolean"
+PREDICTED_SQL = "lang_pred string, score double, ambiguous boolean, unfamiliar boolean"
 
 
 def predicted(docs: DataFrame, model: Model | None, text_col: str, keep: list[str]) -> DataFrame:
-    """The kept columns of ``docs`` with lang_pred, score and ambiguous from the text alone."""
+    """The kept columns of ``docs`` with lang_pred, score, ambiguous and unfamiliar from the text alone."""
     given = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text_col).cast("string").alias("__text"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
 
@@ -197,21 +227,23 @@ def predicted(docs: DataFrame, model: Model | None, text_col: str, keep: list[st
                 some = batch.slice(at, 500)
                 texts = some.column(len(keep))
                 known = np.array([t is not None and has_letter(t) for t in texts.to_pylist()], bool)
-                lang, score, unclear = [UNKNOWN] * len(known), np.zeros(len(known)), np.ones(len(known), bool)
+                lang, score, unclear, strange = [UNKNOWN] * len(known), np.zeros(len(known)), np.ones(len(known), bool), np.ones(len(known), bool)
                 if model is not None and known.any():
-                    features = np.stack([ngrams(t) for t, k in zip(texts.cast(pa.binary()).to_pylist(), known) if k])
+                    own = [t for t, k in zip(texts.cast(pa.binary()).to_pylist(), known) if k]
+                    features = np.stack([ngrams(t) for t in own])
                     best, sure, close = model.predict(features)
+                    strange[known] = model.unfamiliar(features, *np.array([letters_of(t) for t in own]).T)
                     for i, b in zip(np.flatnonzero(known).tolist(), best.tolist()):
                         lang[i] = model.languages[b]
                     score[known], unclear[known] = sure, close
-                yield pa.RecordBatch.from_arrays([*(some.column(i) for i in range(len(keep))), pa.array(lang), pa.array(score), pa.array(unclear)],
-                                                 names=[*(f"k{i}" for i in range(len(keep))), "lang_pred", "score", "ambiguous"])
+                yield pa.RecordBatch.from_arrays([*(some.column(i) for i in range(len(keep))), pa.array(lang), pa.array(score), pa.array(unclear), pa.array(strange)],
+                                                 names=[*(f"k{i}" for i in range(len(keep))), "lang_pred", "score", "ambiguous", "unfamiliar"])
 
-    return given.mapInArrow(work, (kinds + ", " if kinds else "") + PREDICTED_SQL).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", "ambiguous")
+    return given.mapInArrow(work, (kinds + ", " if kinds else "") + PREDICTED_SQL).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", "ambiguous", "unfamiliar")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", parts: int = 4, part: int = 2) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, ambiguous: a row per input row.
+    """doc_id, held_out, lang_pred, score, ambiguous, unfamiliar: a row per input row.
 
     Learns from text and non-null language of rows that are not held out (crc32 of the id as text modulo ``parts`` is
     ``part``), from at most ``ROWS`` rows, ``ROWS_PER_LANGUAGE`` of a language, chosen by a hash of the id. Whole
