@@ -11,8 +11,9 @@ that cannot have an equal are set aside first, without loss:
    leading tokens, the 32 bytes from the anchor (equal windows share them); document and place follow as further sort
    keys, so a leading token that many documents hold is spread over several ranges. Each range sorts the suffixes that
    start at its windows by multikey quicksort; of a run of equal suffixes the earliest stays.
-4. Only the first and last leading token of a range can go on in another range. Their suffixes are compared across
-   the borders by the hash (128 bits) of their bytes.
+4. Only the first and last leading token of a range can go on in another range. Where one does, the earliest of its
+   suffixes of every kind are compared across the borders by the hash (128 bits) of their bytes. They leave a range
+   packed, one record per leading token; the others of a border are never sent.
 
 Batches send one record per distinct run. A leading token with many different surroundings in a batch is known to
 repeat: it leaves a few witnesses with its own part, and the other records are spread by their surroundings.
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,62 +180,87 @@ def blocks_of(documents, length: int):
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), BLOCK)], schema=BLOCK)
 
 
-SORTED = pa.schema([*SENT, ("code_a", pa.int64()), ("code_b", pa.int64()), ("place", pa.int64())])
-SORTED_SQL = SENT_SQL + ", code_a long, code_b long, place long"
+SORTED = pa.schema([*SENT, ("lead", pa.binary()), ("range", pa.int32())])
+SORTED_SQL = SENT_SQL + ", lead binary, range int"
+#: Suffixes at borders: hash of the bytes.
+EDGE = (("<u8", None), ("<u8", None))
 
 
-def padded(batch: pa.RecordBatch) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, *(pa.nulls(batch.num_rows, pa.int64()) for _ in range(3))], schema=SORTED)
+def widened(batch: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, pa.binary()), pa.nulls(batch.num_rows, pa.int32())], schema=SORTED)
 
 
 def sort_range(batches: Iterator[pa.RecordBatch], length: int, parts: int):
-    """Sorts the suffixes of one range; gives removed windows and the earliest of each kind at the borders."""
+    """Sorts the suffixes of one range; gives removed windows (kind 0) and, packed, the earliest of each kind of its
+    first and last leading token (kind 3)."""
     table = pa.Table.from_batches(list(batches), schema=BLOCK)  # a range holds a bounded number of runs
     if table.num_rows == 0:
         return
     table = table.combine_chunks()
     lead = table.column("lead").to_pylist()
     low, high = min(lead), max(lead)
-    at_border = np.array([x == low or x == high for x in lead])
+    side = np.array([1 if x == low else 2 if x == high else 0 for x in lead])
     raw, borders = texts_of(table.column("block").chunk(0))
     keys, places = np.asarray(table.column("key").chunk(0)), np.asarray(table.column("place").chunk(0))
     windows = np.asarray(table.column("windows").chunk(0)).astype(np.int64)
     of = np.repeat(np.arange(len(windows)), windows)
     step = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
     starts = borders[:-1][of] + step
-    key, place, border = keys[of], places[of] + step, at_border[of]
+    key, place, side = keys[of], places[of] + step, side[of]
     order, run = multikey_quicksort(words_of(raw), starts, length)
     by_age = order[np.lexsort((place[order], key[order], run))]
     first = np.ones(len(order), bool)
     first[1:] = run[1:] != run[:-1]  # runs keep their places of the order
     later = by_age[~first]
     for found in known(key[later], place[later], np.ones(len(later), np.int64), parts):
-        yield padded(found)
+        yield widened(found)
     kept = by_age[first]
-    kept = kept[border[kept]]
-    if len(kept):
-        view = memoryview(raw)
-        codes = b"".join(xxhash.xxh3_128_digest(view[s : s + length]) for s in starts[kept].tolist())
-        pairs = np.frombuffer(codes, np.int64).reshape(-1, 2)
-        n = len(kept)
+    view, number = memoryview(raw), TaskContext.get().partitionId()
+    for which, token in ((1, low), (2, high)):
+        some = kept[side[kept] == which]
+        if len(some) == 0:
+            continue
+        some = some[np.lexsort((place[some], key[some]))]
+        codes = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[s : s + length]) for s in starts[some].tolist()), np.uint64).reshape(-1, 2)
+        data = pack(key[some], place[some], (np.ascontiguousarray(codes[:, 0]), None), (np.ascontiguousarray(codes[:, 1]), None))
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int32()), pa.array(np.full(n, 3, np.int8)), pa.array(key[kept]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
-             pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1])), pa.array(place[kept])], schema=SORTED)
+            [pa.nulls(1, pa.int32()), pa.array([3], pa.int8()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([data], pa.binary()),
+             pa.array([token], pa.binary()), pa.array([number], pa.int32())], schema=SORTED)
 
 
-def packed_windows(batches: Iterator[pa.RecordBatch], parts: int):
+def by_code(batches: Iterator[pa.RecordBatch], parts: int):
+    """Packed suffixes, dealt by the hash of their bytes."""
     for batch in batches:
-        keys, places = np.asarray(batch.column("key")), np.asarray(batch.column("place"))
-        yield from known(keys, places, np.ones(len(keys), np.int64), parts)
+        data = batch.column("data")
+        for i in range(batch.num_rows):
+            keys, places, a, b = unpack(data[i].as_py(), *EDGE)
+            part, out = [], []
+            for p, some in by_part((a % np.uint64(parts)).astype(np.int64), parts):
+                part.append(p)
+                out.append(pack(keys[some], places[some], (a[some], None), (b[some], None)))
+            yield sent(part, out, 1)
+
+
+def decided(batches: Iterator[pa.RecordBatch], parts: int):
+    """Of equal suffixes of several ranges all but the earliest are removed."""
+    held = [unpack(d.as_py(), *EDGE) for batch in batches for d in batch.column("data")]
+    if not held:
+        return
+    keys, places, a, b = (np.concatenate(c) for c in zip(*held))
+    order = np.lexsort((places, keys))
+    keys, places, a, b = keys[order], places[order], a[order], b[order]
+    _, first = first_of_equal(a, b)
+    yield from known(keys[~first], places[~first], np.ones(int((~first).sum()), np.int64), parts)
 
 
 def across_borders(edge: DataFrame, parts: int) -> DataFrame:
-    """Of equal suffixes of several ranges all but the earliest are removed; each range sends its earliest."""
-    earliest = edge.groupBy("code_a", "code_b").agg(F.min(F.struct("key", "place")).alias("first"), F.count("*").alias("n"))
-    again = earliest.filter("n > 1").select(F.col("code_a").alias("a"), F.col("code_b").alias("b"), "first")
-    met = edge.join(again, (F.col("code_a") == F.col("a")) & (F.col("code_b") == F.col("b")))
-    later = met.filter((F.col("key") != F.col("first.key")) | (F.col("place") != F.col("first.place")))
-    return later.select("key", "place").mapInArrow(lambda it: packed_windows(it, parts), SENT_SQL)
+    """Removed windows among the suffixes of leading tokens that lie in several ranges."""
+    narrow = edge.select("lead", F.col("range").alias("__range"))
+    spread = narrow.groupBy("lead").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("lead").alias("__lead"))
+    wanted = narrow.join(spread, F.col("lead") == F.col("__lead")).select(F.col("lead").alias("__lead"), "__range")
+    met = edge.join(wanted, (F.col("range") == F.col("__range")) & (F.col("lead") == F.col("__lead")), "left_semi")
+    dealt = met.select("data").mapInArrow(lambda it: by_code(it, parts), SENT_SQL).repartitionById(parts, F.col("part"))
+    return dealt.mapInArrow(lambda it: decided(it, parts), SENT_SQL)
 
 
 KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
