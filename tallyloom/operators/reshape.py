@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,28 @@ from .keys import attach
 from .ordering import running
 
 
-def widen(df: DataFrame, ids: Sequence[str], names_from: str, values_from: str, values: Sequence, fill=None) -> DataFrame:
-    """One column per listed value. ``fill`` replaces absent cells only, not stored missing ones."""
+#: Most columns that a wide table gets from the data.
+MOST_COLUMNS = 5000
+
+
+def found_names(df: DataFrame, name: str) -> list:
+    """Distinct values in order, a missing one last."""
+    found = df.select(name).distinct().limit(MOST_COLUMNS + 1).collect()
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"over {MOST_COLUMNS} distinct values in {name}; a table cannot have a column for each")
+    return sorted((r[0] for r in found), key=lambda v: (v is None, v or 0))
+
+
+def widen(
+    df: DataFrame, ids: Sequence[str], names_from: str, values_from: str, values: Sequence | None = None, fill=None, missing: str = "NA"
+) -> DataFrame:
+    """One column per listed value, or per value found; that of a missing value is named ``missing``.
+
+    ``fill`` replaces absent cells only, not stored missing ones.
+    """
+    if values is None:
+        df = df.withColumn(names_from, F.coalesce(F.col(names_from).cast("string"), F.lit(missing)))
+        values = found_names(df, names_from)
     cell = F.first(F.struct(F.col(values_from).alias("v")))
     wide = df.groupBy(*ids).pivot(names_from, list(values)).agg(cell)
     picked = []
@@ -87,10 +109,11 @@ def user_item_vectors(df: DataFrame, user: str, item: str, value: str, out: str
 
 
 def _sparse_vector(width: int):
-    """Only the change of representation is done in Python; Spark has no built-in for it."""
+    """Spark has no built-in for this change of representation; the arrays are handed on as they are, batch by batch."""
 
-    @F.udf(VectorUDT())
-    def build(index, values):
-        return SparseVector(width, index, values)
+    @F.arrow_udf(VectorUDT())
+    def build(index: pa.Array, values: pa.Array) -> pa.Array:
+        n = len(index)
+        return pa.StructArray.from_arrays([pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, width, np.int32)), index, values], ["type", "size", "indices", "values"])
 
     return build
