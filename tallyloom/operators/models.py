@@ -1,9 +1,4 @@
-"""Regression models of several families and their comparison.
-
-Differences to single-machine learners, all coming from the distributed tree
-code: trees are not pruned afterwards (a minimum gain takes that part), split
-points come from histograms, and split thresholds are not drawn at random.
-"""
+"""Regression models of several families and their comparison."""
 
 from __future__ import annotations
 
@@ -11,21 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .linear import regression_metrics
-
-
-def subset(wanted: int, n_features: int) -> str:
-    """Features tried per split, at most as many as there are."""
-    return str(max(1, min(wanted, n_features)))
+from .trees import PrunedTree, RandomisedTrees, SecondOrderBoosting
 
 
 def regressors(
@@ -33,17 +19,14 @@ def regressors(
 ) -> dict[str, Estimator]:
     """The compared families with their fixed settings."""
     common = {"labelCol": label, "featuresCol": "features"}
+    # Settings of the compared models.
     return {
         "linear": LinearRegression(**common, solver="auto", regParam=0.0),
         "elastic_net": LinearRegression(**common, regParam=10.0, elasticNetParam=0.1),
-        "tree": DecisionTreeRegressor(**common, maxDepth=5, minInstancesPerNode=7, minInfoGain=0.001, seed=seed),
-        "forest": RandomForestRegressor(
-            **common, numTrees=trees, minInstancesPerNode=10, featureSubsetStrategy=subset(8, n_features), seed=seed
-        ),
+        "tree": PrunedTree(**common, max_depth=5, min_n=7, complexity=0.001),
+        "forest": RandomisedTrees(**common, trees=trees, mtry=8, min_n=10, seed=seed),
         "forest_default": RandomForestRegressor(**common, numTrees=default_trees, seed=seed),
-        "boosted": GBTRegressor(
-            **common, maxIter=rounds, stepSize=0.25, maxDepth=7, featureSubsetStrategy=subset(30, n_features), seed=seed
-        ),
+        "boosted": SecondOrderBoosting(**common, rounds=rounds, rate=0.25, max_depth=7, mtry=min(30, n_features), seed=seed),
     }
 
 
@@ -104,5 +87,6 @@ def coefficients(spark: SparkSession, model: Model, features: Sequence[str]) ->
 
 def parameters(spark: SparkSession, model_id: str, model: Model) -> DataFrame:
     """All settings of a fitted model as rows."""
-    rows = [(model_id, p.name, str(v)) for p, v in sorted(_last(model).extractParamMap().items(), key=lambda e: e[0].name)]
-    return spark.createDataFrame(rows, "model_id string, param string, value string")
+    last = _last(model)
+    found = {p.name: v for p, v in last.extractParamMap().items()} | getattr(last, "settings", {})
+    return spark.createDataFrame([(model_id, n, str(v)) for n, v in sorted(found.items())], "model_id string, param string, value string")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
-from ..operators import joins, linear, models, split
+from ..operators import joins, linear, models, split, trees
 from ..operators.recipe import Recipe
 from ..sources.tables import expand_steps, literal_table, uniform_table
 from .registration import Tables, query
@@ -271,3 +271,36 @@ def workflow_predictions(t: Tables):
     price = models.regressors("p_retailprice", 2)["linear"]
     fitted = models.workflow(["p_size", "p_type_flags"], price, *stages).fit(train)
     return fitted.transform(test).select("p_partkey", "p_retailprice", F.round("prediction", 4).alias("pred"))
+
+
+@query(
+    """
+WITH c AS (
+  SELECT 0 AS o, 'l_quantity' AS f, CAST(l_quantity AS DOUBLE) AS v, l_extendedprice AS y FROM lineitem
+  UNION ALL SELECT 1, 'l_discount', l_discount, l_extendedprice FROM lineitem
+  UNION ALL SELECT 2, 'l_tax', l_tax, l_extendedprice FROM lineitem),
+g AS (SELECT o, f, v, count(*) AS n, sum(y) AS s FROM c GROUP BY ALL),
+l AS (SELECT o, f, v, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s,
+             max(v) OVER (PARTITION BY f) AS most FROM g WINDOW w AS (PARTITION BY f ORDER BY v)),
+p AS (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS penalty, unnest(['tree', 'boosted']) AS model_id),
+k AS (SELECT *, CASE WHEN penalty = 0 THEN 0.0 ELSE s / n END AS base FROM l, p WHERE v < most),
+b AS (SELECT *, pow(ls - ln * base, 2) / (ln + penalty) + pow(s - ls - (n - ln) * base, 2) / (n - ln + penalty) AS gain FROM k),
+r AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY model_id ORDER BY gain DESC, o, v) = 1)
+SELECT model_id, f AS feature, round(v, 6) AS threshold, CAST(ln AS DOUBLE) AS left_rows, CAST(n - ln AS DOUBLE) AS right_rows,
+       round((ls - ln * base) / (ln + penalty), 4) AS left_value, round((s - ls - (n - ln) * base) / (n - ln + penalty), 4) AS right_value
+FROM r"""
+)
+def first_splits(t: Tables):
+    """First split and leaf values of a single and of a boosted tree."""
+    names = ["l_quantity", "l_discount", "l_tax"]
+    df = VectorAssembler(inputCols=names, outputCol="features").transform(t.lineitem.select(*names, "l_extendedprice"))
+    data = trees.rows_of(df, "features", "l_extendedprice").persist()
+    single = trees.single(data, len(names), 1, 7, 0.0)[0]
+    boosted = trees.boosted(data, len(names), 1, 0.25, 1)[1]
+    data.unpersist()
+    rows = []
+    for name, found in (("tree", single), ("boosted", boosted)):
+        a, b = int(found.left[0]), int(found.left[0]) + 1
+        rows.append((name, names[found.feature[0]], *[float(v) for v in (found.threshold[0], found.weight[a], found.weight[b], found.value[a], found.value[b])]))
+    out = t.spark.createDataFrame(rows, "model_id string, feature string, threshold double, left_rows double, right_rows double, left_value double, right_value double")
+    return out.withColumns({c: F.round(c, d) for c, d in (("threshold", 6), ("left_value", 4), ("right_value", 4))})
