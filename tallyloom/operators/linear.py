@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.steps import how_many_reached
 from ..sources.tables import hash_uniform
 from .factors import level_lists
-from .gram import Line, cross_sums, least_squares, ridge, t_quantile, t_tail, unpack
+from .gram import Line, least_squares, ridge, t_quantile, t_tail
 from .ordering import average_rank
+from .partials import reduced
 from .profile import correlation
 from .recipe import dummy_name
 
@@ -123,33 +123,55 @@ def poisson_weight(*seed: Column) -> Column:
     return how_many_reached(_POISSON, u).cast("double")
 
 
+def drawn_counts(h: np.ndarray, replicates: int, seed: int) -> np.ndarray:
+    """Table replicates x rows of ``poisson_weight(key, replicate, seed)``; ``h`` is the hash of the keys."""
+    out = hashed_int(hashed_int(h[None, :], np.arange(1, replicates + 1)[:, None]), np.array([[seed]]))
+    u = (out >> np.uint64(11)) * 2.0**-53
+    return sum((u >= c).astype(np.float64) for c in _POISSON)
+
+
+def hashed_int(seed: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """xxHash64 of 32-bit whole numbers, as Spark's ``xxhash64`` goes on with a further int column."""
+    # The primes of xxHash64.
+    p1, p2, p3, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+    h = (seed + p5 + np.uint64(4)) ^ ((value.astype(np.uint64) & np.uint64(0xFFFFFFFF)) * p1)
+    h = ((h << np.uint64(23)) | (h >> np.uint64(41))) * p2 + p3
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
+
+
 def bootstrap_interval(
     df: DataFrame, key: str, names: Sequence[str], target: str, points: DataFrame, replicates: int = 200,
     level: float = 0.95, seed: int = 1,
 ) -> DataFrame:
     """Interval of the mean prediction at some points by the Poisson bootstrap.
 
-    Each replicate weights the rows by a count drawn from the row key. Rows are
-    added up per replicate inside the map tasks, so only one small matrix per
-    replicate and task is shuffled. ``points`` is a short table of new rows.
+    Each replicate weights the rows by a count drawn from the row key. A batch
+    multiplies its table of replicates x row weights with the products of every
+    row, so a row is read once and a task hands on one small matrix per
+    replicate. ``points`` is a short table of new rows.
     """
     names = list(names)
     width = len(names) + 1
-    data = df.select(key, *names, target).na.drop()
-    drawn = data.withColumn("__rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    weight = poisson_weight(F.col(key), F.col("__rep"), F.lit(seed))
-    sums = drawn.withColumn("__w", weight).groupBy("__rep").agg(*cross_sums(names, target, F.col("__w")))
-
-    def solve(batches):
-        for pdf in batches:
-            fits = [
-                ridge(unpack(r.xx, width), np.array(r.xy), r.yy, 0.0)[0].tolist() for r in pdf.itertuples(index=False)
-            ]
-            yield pd.DataFrame({"beta": fits})
-
-    fits = sums.select("xx", "xy", "yy").mapInPandas(solve, "beta array<double>")
+    cells = [F.col(n).cast("double") for n in (*names, target)]
+    data = df.select(key, *names, target).na.drop().select(F.xxhash64(key).alias("h"), F.array(F.lit(1.0), *cells).alias("x"))
+
+    def products(batches):
+        total = np.zeros((replicates, (width + 1) ** 2))
+        for batch in batches:
+            x = np.asarray(batch.column("x").flatten()).reshape(batch.num_rows, -1)
+            h = np.asarray(batch.column("h")).view(np.uint64)
+            step = max(1, (1 << 21) // max(replicates, (width + 1) ** 2))
+            for at in range(0, len(x), step):
+                some = x[at : at + step]
+                square = (some[:, :, None] * some[:, None, :]).reshape(len(some), -1)
+                total += drawn_counts(h[at : at + step], replicates, seed) @ square
+        return total
+
     # replicates x coefficients: a fixed small number of values, whatever the data
-    betas = [r["beta"] for r in fits.collect()]
+    sums = reduced(data, replicates * (width + 1) ** 2, products).reshape(replicates, width + 1, width + 1)
+    betas = [ridge(s[:width, :width], s[:width, width], s[width, width], 0.0)[0].tolist() for s in sums]
     design = [F.lit(1.0), *[F.col(n).cast("double") for n in names]]
     draws = []
     for b in betas:
