@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import case_when, is_in
@@ -32,12 +32,19 @@ def range_by(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     return out.withColumn("measure_var", F.lit(measure)).withColumn(measure, F.lit("test"))
 
 
-def share_within(df: DataFrame, by: Sequence[str] = (), value: str = "n", name: str = "share") -> DataFrame:
+def share_within(
+    df: DataFrame, by: Sequence[str] = (), value: str = "n", name: str = "share", few: bool = False
+) -> DataFrame:
     """Value divided by the total of its group, or by the grand total without keys.
 
     Totals come from their own partial aggregate and are joined back, so a
-    group with very many rows is never gathered in one task.
+    group with very many rows is never gathered in one task. ``few`` says that
+    the rows are few by their meaning, such as one per outcome: then they are
+    made once and the grand total is taken in one task.
     """
+    if not by and few:
+        total = F.sum(value).over(Window.partitionBy())
+        return df.withColumn(name, F.try_divide(F.col(value).cast("double"), total.cast("double")))
     if not by:
         total = df.agg(F.sum(value)).scalar()
         return df.withColumn(name, F.try_divide(F.col(value).cast("double"), total.cast("double")))

@@ -32,10 +32,35 @@ def one_pass(df: DataFrame, stats: dict[str, Column]) -> DataFrame:
     return one.select(*[p[n].alias(n) for p, chunk in zip(parts, chunks) for n, _ in chunk])
 
 
+def native_long(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Long form ``(key, whole, number, text)`` of some columns, each value in the one of its own kind.
+
+    Whole numbers, days and moments are whole numbers, fractions are doubles; only what is neither becomes text.
+    """
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    cells = []
+    for n in names:
+        kind, col = kinds[n], F.col(f"`{n}`")
+        whole = number = text = None
+        if kind in ("byte", "short", "integer", "long", "boolean"):
+            whole = col
+        elif kind == "date":
+            whole = F.unix_date(col)
+        elif kind == "timestamp":
+            whole = F.unix_micros(col)
+        elif kind in ("float", "double"):
+            number = col
+        else:
+            text = col
+        slots = ((whole, "long", "whole"), (number, "double", "number"), (text, "string", "text"))
+        cells.append(F.struct(F.lit(n).alias("key"), *[(F.lit(None) if c is None else c).cast(t).alias(a) for c, t, a in slots]))
+    return df.select(F.inline(F.array(*cells)))
+
+
 def cardinality(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Distinct values per column; a missing value counts as one more value."""
     names = list(names or columns.numeric(df))
-    cells = values_long(df, names, "string").distinct()
+    cells = native_long(df, names).distinct()
     return cells.groupBy("key").agg(F.count(F.lit(1)).alias("n_values"))
 
 
@@ -72,7 +97,7 @@ def column_profile(df: DataFrame, probs: Sequence[float] = (0.0, 0.25, 0.5, 0.75
         ]
     )
     out = wide.select(F.inline(cells))
-    distinct = values_long(df.select(*names), names).filter(F.col("value").isNotNull()).distinct()
+    distinct = native_long(df, names).filter(F.col("whole").isNotNull() | F.col("number").isNotNull() | F.col("text").isNotNull()).distinct()
     distinct = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n_unique"))
     out = out.join(distinct, "key", "left").withColumn("n_unique", F.coalesce("n_unique", F.lit(0)))
     found = quantiles(df, numbers, probs)
@@ -348,6 +373,20 @@ def themed(df: DataFrame, always: Sequence[str], patterns: Sequence[str]) -> Dat
     return df.select(*picked)
 
 
+def theme_correlations(df: DataFrame, target: str, themes: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """``(theme, feature, correlation)`` for the columns of all themes; a column may belong to several themes.
+
+    The columns of all themes are correlated in one pass. A theme without columns has no rows.
+    """
+    members = {theme: [c for p in parts for c in columns.containing(df, p) if c != target] for theme, parts in (themes or THEMES).items()}
+    wanted = list(dict.fromkeys(c for own in members.values() for c in own))
+    if not wanted:
+        return df.sparkSession.createDataFrame([], "theme string, feature string, correlation double")
+    found = correlation_with(df.select(*wanted, target), target)
+    listed = [(theme, c) for theme, own in members.items() for c in dict.fromkeys(own)]
+    return attach(found, df.sparkSession.createDataFrame(listed, "theme string, feature string"), ["feature"]).select("theme", "feature", "correlation")
+
+
 # Themes of the exploration and the name parts that select their columns.
 THEMES = {
     "descriptive": ("Age", "Gender", "MaritalStatus", "NumCompaniesWorked", "Over18", "DistanceFromHome"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import dictionary, factors, flags, joins, profile, split
+from ..operators import density, dictionary, factors, flags, joins, profile, split
 from ..sources.tables import literal_table
 from .registration import Tables, query
 
@@ -400,3 +400,55 @@ def themed_correlation(t: Tables):
     df = t.lineitem.withColumn("returned", (F.col("l_returnflag") == "R").cast("double"))
     found = profile.correlation_with(profile.themed(df, ["returned"], ["DISC", "tax"]), "returned", order=True)
     return found.withColumn("correlation", F.round("correlation", 6))
+
+
+_THEMES = {
+    "money": ("price", "discount"), "tax": ("tax",), "amount": ("quantity",), "position": ("linenumber",),
+    "part": ("part",), "supplier": ("supp",), "order": ("order",), "all_l": ("l_",),
+}
+
+
+@query(
+    "WITH d AS (SELECT *, CAST(l_returnflag = 'R' AS DOUBLE) AS returned FROM lineitem), c AS (\n"
+    + "\nUNION ALL ".join(
+        f"SELECT '{theme}' AS theme, '{c}' AS feature, corr({c}, returned) AS correlation FROM d"
+        for theme, own in {
+            "money": ("l_extendedprice", "l_discount"), "tax": ("l_tax",), "amount": ("l_quantity",), "position": ("l_linenumber",),
+            "part": ("l_partkey",), "supplier": ("l_suppkey",), "order": ("l_orderkey",),
+            "all_l": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"),
+        }.items() for c in own
+    )
+    + ") SELECT theme, feature, round(correlation, 6) AS correlation FROM c"
+)
+def theme_correlations(t: Tables):
+    """Eight themes of columns against one target, in one pass."""
+    numbers = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    df = t.lineitem.select(*numbers, (F.col("l_returnflag") == "R").cast("double").alias("returned"))
+    found = profile.theme_correlations(df, "returned", _THEMES)
+    return found.withColumn("correlation", F.round("correlation", 6))
+
+
+def _density_sql(columns: tuple[str, ...], points: int) -> str:
+    values = "\nUNION ALL ".join(f"SELECT l_returnflag, '{c}' AS key, CAST({c} AS DOUBLE) AS v FROM lineitem" for c in columns)
+    return f"""
+WITH v AS ({values}),
+g AS (SELECT key, min(v) AS low, max(v) AS high, (max(v) - min(v)) / {points - 1} AS step FROM v GROUP BY key),
+s AS (SELECT l_returnflag, key, count(v) AS n, 1.06 * stddev_samp(v) * pow(count(v), -0.2) AS h FROM v GROUP BY ALL HAVING stddev_samp(v) > 0),
+b AS (SELECT l_returnflag, key, least(floor((v - low) / step), {points - 2}) AS i, (v - low) / step AS a FROM v JOIN g USING (key)),
+c AS (SELECT l_returnflag, key, i, sum(w) AS w FROM (
+        SELECT l_returnflag, key, i, 1 - (a - i) AS w FROM b UNION ALL SELECT l_returnflag, key, i + 1, a - i FROM b) GROUP BY ALL),
+p AS (SELECT unnest(range({points})) AS j)
+SELECT l_returnflag, key, CAST(n AS BIGINT) AS n, round(low + j * step, 4) AS x,
+       round(sum(w * exp(-0.5 * pow((j - i) * step / h, 2))) / (n * h * sqrt(2 * pi())) * (high - low), 8) AS density
+FROM c JOIN s USING (l_returnflag, key) JOIN g USING (key), p GROUP BY l_returnflag, key, n, h, low, high, step, j"""
+
+
+@query(_density_sql(("l_quantity", "l_extendedprice", "l_discount"), density.POINTS))
+def class_densities(t: Tables):
+    """Kernel densities of three measures per return flag, scaled by the range of the measure."""
+    names = ["l_quantity", "l_extendedprice", "l_discount"]
+    found = density.class_densities(t.lineitem, names, "l_returnflag")
+    spans = t.lineitem.select(F.explode(F.array(*[F.struct(F.lit(n).alias("__key"), F.col(n).cast("double").alias("v")) for n in names])).alias("c"))
+    spans = spans.groupBy(F.col("c.__key").alias("__key")).agg((F.max("c.v") - F.min("c.v")).alias("span"))
+    met = found.join(spans, F.col("key") == F.col("__key"))
+    return met.select("l_returnflag", "key", "n", F.round("x", 4).alias("x"), F.round(F.col("density") * F.col("span"), 8).alias("density"))
