@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .keys import attach
+from .reshape import found_names
 
 
 def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[str, str] | None = None) -> DataFrame:
@@ -102,8 +103,10 @@ def bind(parts: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
 REST = "rest"
 
 
-def split_by(df: DataFrame, name: str, values: Sequence) -> dict:
-    """One filtered frame per listed value, and under ``REST`` the rows with any other or no value."""
+def split_by(df: DataFrame, name: str, values: Sequence | None = None) -> dict:
+    """One filtered frame per listed value, or per value found, and under ``REST`` the rows with any other or no value."""
+    if values is None:
+        values = [v for v in found_names(df, name) if v is not None]
     listed = F.coalesce(F.col(name).isin(*values), F.lit(False))
     return {v: df.filter(F.col(name) == F.lit(v)) for v in values} | {REST: df.filter(~listed)}
 

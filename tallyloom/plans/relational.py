@@ -8,14 +8,13 @@ from ..functions.money import money, turnover_cost
 from ..functions.nulls import case_when, half_even, if_else, is_in, ratio, strict
 from ..functions.text import first_match, join_text, piece, replace_first, template
 from ..operators import aggregates, binning, columns, joins, kpi, ordering, quantiles, reshape, rows
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import tables as src
 from .registration import Tables, query
 
 # No user can have more daily rows than 10,000 years have days.
 CALENDAR_DAYS = 3_660_000
 
-P_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
 @query(
@@ -230,7 +229,8 @@ def data_carry_bind(t: Tables):
     key = ["p_partkey"]
     parts = joins.carry_key(t.part, key, ["p_name", "p_brand"], ["p_type"], ["p_size", "p_retailprice"])
     whole = joins.bind(parts, key)
-    by_type = joins.split_by(whole, "p_type", P_TYPES)
+    whole = cut_lineage(whole)  # it is read once per type
+    by_type = joins.split_by(whole, "p_type")
     return joins.merge(list(by_type.values()))
 
 
@@ -324,7 +324,7 @@ def composite_inner_join(t: Tables):
     counts = both.groupBy("arrival").agg(
         F.sum("rows").alias("n"), F.round(gap / F.sum("known"), 4).alias("mean_deviation")
     )
-    return aggregates.share_within(counts).withColumn("share", F.round("share", 8))
+    return aggregates.share_within(counts, few=True).withColumn("share", F.round("share", 8))
 
 
 CUSTOMER_TRENDS = """
@@ -365,11 +365,6 @@ def segment_part_share(t: Tables):
     return aggregates.share_within(sums, ["store"], "quantity").withColumn("share", F.round("share", 8))
 
 
-_PIVOT = ", ".join(
-    f"coalesce(max(CASE WHEN p_type = '{v}' THEN share END), 0) AS \"{v}\"" for v in P_TYPES
-)
-
-
 @query(
     f"""
 WITH q AS (
@@ -377,7 +372,7 @@ WITH q AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2),
 s AS (SELECT c_mktsegment, p_type, round(quantity / sum(quantity) OVER (PARTITION BY c_mktsegment), 8) AS share FROM q)
-SELECT c_mktsegment, {_PIVOT} FROM s GROUP BY c_mktsegment"""
+PIVOT (SELECT c_mktsegment, coalesce(p_type, 'NA') AS p_type, share FROM s) ON p_type USING coalesce(max(share), 0) GROUP BY c_mktsegment"""
 )
 def user_item_pivot(t: Tables):
     line = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("p_partkey"), "l_quantity")
@@ -387,7 +382,7 @@ def user_item_pivot(t: Tables):
     lines = joins.matching(lines, t.part.select("p_partkey", "p_type"), ["p_partkey"])
     sums = aggregates.sum_by(lines, ["c_mktsegment", "p_type"], quantity="l_quantity")
     shares = aggregates.share_within(sums, ["c_mktsegment"], "quantity").withColumn("share", F.round("share", 8))
-    return reshape.widen(shares, ["c_mktsegment"], "p_type", "share", P_TYPES, fill=0.0)
+    return reshape.widen(shares, ["c_mktsegment"], "p_type", "share", fill=0.0)
 
 
 @query(
