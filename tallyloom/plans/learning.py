@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import automl, cluster, evaluate, explain, joins, reshape, split
+from ..operators import automl, cluster, evaluate, explain, halving, joins, reshape, split
 from ..sources.registry import ModelRegistry
 from ..session import scratch_path
 from .registration import Tables, query
@@ -45,7 +45,8 @@ def _vectors(t: Tables):
 
 @query("SELECT round(sum(v), 4) AS totss FROM (SELECT var_pop(v::DOUBLE) * count(*) AS v FROM (SELECT unnest(range(64)) AS i, unnest(embedding) AS v FROM embeddings) GROUP BY i)")
 def total_sum_of_squares(t: Tables):
-    total = cluster.total_ss(_vectors(t))
+    vectors = reshape.array_vectors(t.embeddings, "embedding")
+    total = cluster.total_ss(vectors)
     return t.spark.range(1).select(F.round(F.lit(total), 4).alias("totss"))
 
 
@@ -53,8 +54,7 @@ def total_sum_of_squares(t: Tables):
 def kmeans_scree(t: Tables, scans=((range(1, 16), 100), (range(16, 31), 20))):
     """Total within-cluster sum of squares: k = 1..15 with 100 restarts, on to k = 30 with 20."""
     vectors = _vectors(t)
-    total = cluster.total_ss(vectors)
-    found = [c for ks, restarts in scans for c in cluster.scan(vectors, ks, restarts, totss=total)]
+    found = cluster.scan(vectors, [(k, restarts) for ks, restarts in scans for k in ks])
     vectors.unpersist()
     return cluster.scree_table(t.spark, found)
 
@@ -64,7 +64,8 @@ def kmeans_best_restart(t: Tables, restarts: int = 100):
     """Centers, sizes and sums of squares of the best restart."""
     vectors = _vectors(t)
     best = cluster.kmeans(vectors, 3, restarts)
-    return cluster.centers_table(t.spark, cluster.assign(vectors, best.model), best.model)
+    vectors.unpersist()
+    return cluster.centers_table(t.spark, cluster.assign(vectors, best.centers), best.centers)
 
 
 @query()
@@ -80,7 +81,7 @@ def segments_joined(t: Tables, restarts: int = 20):
     vectors = vectors.persist()
     best = cluster.kmeans(vectors, 4, restarts)
     about = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("mean_value"))
-    return cluster.segments(vectors, best.model, "user_id", about)
+    return cluster.segments(vectors, best.centers, "user_id", about)
 
 
 # -- model search ------------------------------------------------------------------
@@ -116,6 +117,12 @@ def _documents(t: Tables):
     return text_features(docs).drop("text").persist()
 
 
+def _all_documents(t: Tables):
+    """All documents as features, with a label where there is one."""
+    docs = t.documents.select("doc_id", "text", "lang").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
+    return text_features(docs.withColumn("text", F.coalesce("text", F.lit("")))).drop("text")
+
+
 def _three_parts(data):
     """Train, validation and test rows by key."""
     rest, test = split.parts(data, "doc_id", 0.7)
@@ -147,12 +154,15 @@ def stacked(t: Tables):
 
 @query()
 def mlp(t: Tables):
-    """Probabilities of a feed-forward network, with the label cut at its best threshold."""
+    """Probabilities of a feed-forward network for all documents it did not learn from, with the label cut at the best
+    threshold of those that are labelled."""
     train, _, test = _three_parts(_label(_documents(t)))
     net = automl.network("DeepLearning_1", len(FEATURES), "label", hidden=(10, 10), epochs=50)
     found = automl.search(train, "doc_id", FEATURES, "label", folds=3, wanted=[net], stack=False)
-    scored = automl.score(found.models, test, "doc_id", "label")
-    return evaluate.with_label(scored, evaluate.best_threshold(evaluate.threshold_table(scored)))
+    known = automl.score(found.models, test, "doc_id", "label")
+    others = _label(_all_documents(t)).join(train.select("doc_id"), "doc_id", "left_anti")
+    scored = automl.score(found.models, others, "doc_id", "label")
+    return evaluate.with_label(scored, evaluate.best_threshold(evaluate.threshold_table(known)))
 
 
 #: Network sizes and numbers of epochs of the two searches.
@@ -164,11 +174,23 @@ GRIDS = (
 
 @query()
 def grid_search(t: Tables, grids=GRIDS):
-    """Network sizes by numbers of epochs of both grids, five folds, best first."""
+    """Network sizes by numbers of epochs of both grids, five folds, best first; the best model of each grid is saved."""
     train, _, _ = _three_parts(_label(_documents(t)))
-    rows = [r for hidden, epochs in grids for r in automl.network_grid(train, "doc_id", FEATURES, "label", hidden, epochs)[1]]
+    registry = ModelRegistry(t.spark, scratch_path(t.spark, "grids"))
+    rows = []
+    for i, (hidden, epochs) in enumerate(grids):
+        best, found = automl.network_grid(train, "doc_id", FEATURES, "label", hidden, epochs)
+        saved = registry.save(f"DeepLearning_grid_{i + 1}", best, "quality", FEATURES) if best else None
+        rows += [(*r, saved if k == 0 else None) for k, r in enumerate(found)]
     rows.sort(key=lambda r: (-r[2], r[0], r[1]))
-    return t.spark.createDataFrame(rows, "hidden string, epochs int, cv_auc double")
+    return t.spark.createDataFrame(rows, "hidden string, epochs int, cv_auc double, saved_as string")
+
+
+@query()
+def halving_search(t: Tables, **sizes: int):
+    """63 settings of four families by successive halving; a row per setting and rung it took part in."""
+    train, _, _ = _three_parts(_label(_documents(t)))
+    return halving.board(t.spark, halving.search(train, "doc_id", FEATURES, "label", **sizes)[1])
 
 
 @query()
@@ -226,9 +248,26 @@ def lime_explainer_bins(t: Tables):
     return explain.explainer_table(docs, ["n_chars", "doc_id"], ["lang"])
 
 
+#: Explanations made in this session, by application and folder; several queries show them.
+_EXPLAINED: dict[tuple, str] = {}
+
+
 def _explained(t: Tables, cases: int = 20):
-    """Explanations of the 20 test documents that the model finds best."""
-    train, _, test = _three_parts(_label(_documents(t)))
+    """Explanations of the 20 documents that the model finds best, of all that it did not learn from.
+
+    Fitted and explained once a session; the rows are kept in the shared scratch folder.
+    """
+    at = (t.spark.sparkContext.applicationId, t.folder, cases)
+    if at not in _EXPLAINED:
+        path = scratch_path(t.spark, "explained")
+        _explain_anew(t, cases).write.parquet(path)
+        _EXPLAINED[at] = path
+    return t.spark.read.parquet(_EXPLAINED[at])
+
+
+def _explain_anew(t: Tables, cases: int):
+    train, _, _ = _three_parts(_label(_documents(t)))
+    test = _all_documents(t).join(train.select("doc_id"), "doc_id", "left_anti")
     forest = automl.candidates(len(FEATURES), "label")[1]
     model = automl.fit_one(train, FEATURES, forest)
     own = automl.columns_of("DRF_1")["probabilityCol"]
