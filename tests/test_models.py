@@ -136,21 +136,21 @@ def blobs(spark):
 
 
 def test_clusters(spark, blobs):
-    found = cluster.scan(blobs, [1, 2, 3, 4], restarts=2)
+    found = cluster.scan(blobs, [(k, 2) for k in (1, 2, 3, 4)])
     table = cluster.scree_table(spark, found).orderBy("k").collect()
     assert [r.k for r in table] == [1, 2, 3, 4]
     assert all(a.withinss >= b.withinss for a, b in zip(table, table[1:]))
     assert table[0].withinss == table[0].totss and table[0].betweenss == 0
     three = found[2]
-    assigned = cluster.assign(blobs, three.model)
-    centers = cluster.centers_table(spark, assigned, three.model)
+    assigned = cluster.assign(blobs, three.centers)
+    centers = cluster.centers_table(spark, assigned, three.centers)
     assert sorted(r["size"] for r in centers.collect()) == [50, 50, 50]
     assert sum(r.withinss for r in centers.collect()) == pytest.approx(three.withinss, rel=1e-6)
-    fixed = [(i + 1, list(c)) for i, c in enumerate(three.model.clusterCenters())]
+    fixed = [(i + 1, list(c)) for i, c in enumerate(three.centers)]
     nearest = cluster.nearest_center(blobs, "x", fixed, "near").join(assigned.select("id", "cluster"), "id")
     assert nearest.filter("near <> cluster").count() == 0
     about = spark.range(150).select(F.col("id").cast("int").alias("id"), (F.col("id") % 7).alias("info"))
-    joined = cluster.segments(blobs, three.model, "id", about)
+    joined = cluster.segments(blobs, three.centers, "id", about)
     assert joined.count() == 150 and {"x", "y", "cluster", "info", "label_text"} <= set(joined.columns)
 
 
@@ -247,8 +247,8 @@ def test_registered_sizes_are_those_of_the_reference(spark, monkeypatch):
 
     seen = []
 
-    def scan(vectors, ks, restarts=100, *a, **b):
-        seen.append((list(ks), restarts))
+    def scan(vectors, wanted, *a, **b):
+        seen.append(list(wanted))
         return []
 
     def grid(train, key, features, label, hidden, epochs, **b):
@@ -268,7 +268,7 @@ def test_registered_sizes_are_those_of_the_reference(spark, monkeypatch):
             run(t)
     learning.grid_search(t)
     assert seen == [
-        (list(range(1, 16)), 100), (list(range(16, 31)), 20), ([3], 100), ([4], 20),
+        [(k, 100 if k < 16 else 20) for k in range(1, 31)], [(3, 100)], [(4, 20)],
         ([(10, 10), (20, 20), (30, 30)], [10, 20, 30]), ([(10, 10, 10), (50, 20, 10), (20, 20, 20)], [10, 50, 100]),
     ]
     for sizes, trees in (({}, 5000), ({"trees": 3}, 3)):
