@@ -10,19 +10,15 @@ from tallyloom.llm.common import keyed, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-#: Below this score an ambiguous text is taken for no learned language.
-LEAST_SCORE = 0.35
-
-
 def identify_language(spark, docs, sf_dir):
-    """Keeps documents of a learned language. Rejected: no letter, or ambiguous with a score below ``LEAST_SCORE``.
+    """Keeps documents of a learned language. Rejected: no letter, hardly any, or n-grams that no learned language has.
 
-    Texts of two languages and very short ones are ambiguous at scores near one half; they are clean and stay.
+    Texts of two learned languages and very short ones are ambiguous, but clean; they stay.
     """
     out = language.held_out("doc_id", 4, 2)
     model = language.learn(docs, "doc_id", "text", "lang", out)
     seen = language.predicted(docs, model, "text", list(COLUMNS))
-    kept = seen.filter((F.col("lang_pred") != language.UNKNOWN) & ~(F.col("ambiguous") & (F.col("score") < LEAST_SCORE)))
+    kept = seen.filter((F.col("lang_pred") != language.UNKNOWN) & ~F.col("unfamiliar"))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
