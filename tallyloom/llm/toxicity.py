@@ -2,8 +2,9 @@
 
 Input of a word: an embedding of the hashed word plus the mean embedding of its hashed character trigrams. A network
 of gated units reads a window of words in both directions, attention pools the states, a logistic unit scores the
-window. All overlapping windows of a text are scored; the largest counts, turned into a probability by a logistic
-curve that is fitted on the same learning rows.
+window. Overlapping windows of 24 words, one from every ``STRIDE`` words on, cover the text; the largest score counts,
+turned into a probability by a logistic curve that is fitted on the same learning rows. A passage of up to
+WINDOW - STRIDE + 1 words lies whole in a scored window wherever it stands.
 
 The part of the work that depends on a word alone (its projection on the gates) is done once per distinct word.
 """
@@ -23,7 +24,7 @@ from .language import FOLD, held_out
 
 #: Learning rows at most, of each label.
 ROWS = {1: 1500, 0: 2500}
-WINDOW, STRIDE = 24, 12
+WINDOW, STRIDE = 24, 6
 WORDS, CHARS, EMBED, HIDDEN = 1 << 16, 1 << 13, 6, 6
 #: Distinct words a task remembers, windows scored at a time.
 WORDS_KEPT, WINDOWS_AT_ONCE = 200_000, 4096
