@@ -28,6 +28,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import kept
 from .evaluate import leaderboard
 from .split import folds as with_folds
 
@@ -241,8 +242,7 @@ def score(models: dict[str, PipelineModel], df: DataFrame, key: str, label: str
 
 def board(found: Search, frame: DataFrame, key: str, label: str) -> DataFrame:
     """Leaderboard of all models on rows that took no part in fitting."""
-    scored = score(found.models, frame, key, label).persist()
-    return leaderboard(scored)
+    return leaderboard(kept(score(found.models, frame, key, label), "scored"))
 
 
 def network_grid(

@@ -33,11 +33,16 @@ def levels_first_seen(df: DataFrame, name: str, position: str) -> DataFrame:
 
 
 def levels_by(
-    df: DataFrame, name: str, value: str, stat: str = "median", descending: bool = False
+    df: DataFrame, name: str, value: str, stat: str = "median", descending: bool = False, few: bool = False
 ) -> DataFrame:
-    """Levels ordered by a statistic of another column: median, max or mean."""
+    """Levels ordered by a statistic of another column: median, max or mean.
+
+    ``few`` says that the rows are few by their meaning, such as the bars of a chart.
+    """
     kept = df.filter(F.col(name).isNotNull()).withColumnRenamed(name, "level")
-    if stat == "median":
+    if stat == "median" and few:
+        found = kept.groupBy("level").agg(F.percentile(F.col(value).cast("double"), F.lit(0.5)).alias("__s"))
+    elif stat == "median":
         found = quantiles(kept, [value], [0.5], ["level"]).select("level", F.col("value").alias("__s"))
     elif stat in ("max", "mean"):
         agg = {"max": F.max, "mean": F.avg}[stat](value)

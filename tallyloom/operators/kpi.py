@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import UNITS, money, needs_cents, turnover_cost
 from ..functions.text import join_text
+from ..session import kept
 from .aggregates import above_baseline, count_by, share_within
 from .factors import levels_by
 from .keys import attach
@@ -40,7 +41,7 @@ def labelled_bars(
     are shown only while all values are small and some has a fraction. With
     ``reorder`` bars are placed by the median value of their label.
     """
-    df = df.persist()  # the bars of a chart, read several times below
+    df = kept(df, "bars")  # the bars of a chart, read several times below
     by = list(by) or df.columns[:1]
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {sorted(UNITS)}")
@@ -51,7 +52,7 @@ def labelled_bars(
     if not (reorder or reverse):
         return named
     if reorder:
-        levels = levels_by(named, "name", value, "median", descending=reverse)
+        levels = levels_by(named, "name", value, "median", descending=reverse, few=True)
     else:
         levels = levels_by(named.withColumn("__zero", F.lit(0.0)), "name", "__zero", "max")
         last = levels.agg(F.max("code")).scalar()

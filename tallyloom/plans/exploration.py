@@ -230,7 +230,7 @@ FROM seen JOIN sorted USING (level) JOIN front USING (level)"""
 )
 def relevel(t: Tables):
     orders = t.orders.select("o_orderkey", "o_orderpriority")
-    by_text = factors.levels_sorted(orders, "o_orderpriority").persist()
+    by_text = factors.levels_sorted(orders, "o_orderpriority")
     tables = {
         "seen": factors.levels_first_seen(orders, "o_orderpriority", "o_orderkey"),
         "sorted": by_text,
@@ -339,15 +339,15 @@ SELECT o_orderkey, CAST(m = 1 AND n = 1 AS INT) AS "NewYearsDay", CAST(m = 7 AND
        CAST(m = 11 AND w = 2 AND n BETWEEN 2 AND 8 AS INT) AS "ElectionDay",
        CAST(d IN (DATE '1992-04-17', DATE '1993-04-09', DATE '1994-04-01', DATE '1995-04-14', DATE '1996-04-05',
                   DATE '1997-03-28', DATE '1998-04-10', DATE '1999-04-02', DATE '2000-04-21', DATE '2001-04-13',
-                  DATE '2002-03-29') AS INT) AS "GoodFriday"
+                  DATE '2002-03-29') AS INT) AS "GoodFriday",
+       CAST(m = 1 AND n = 20 AND y % 4 = 1 AS INT) AS "InaugurationDay", CAST(m = 2 AND n = 12 AS INT) AS "LincolnsBirthday",
+       CAST(m = 2 AND n = 22 AS INT) AS "WashingtonsBirthdayTraditional", CAST(m = 6 AND n = 19 AS INT) AS "Juneteenth",
+       CAST(m = 11 AND n = 11 AS INT) AS "VeteransDay", CAST(m = 2 AND w = 1 AND k = 3 AS INT) AS "PresidentsDay",
+       CAST(m = 10 AND w = 1 AND k = 2 AS INT) AS "ColumbusDay"
 FROM o JOIN nth USING (d)"""
 )
 def holiday_flags(t: Tables):
-    names = (
-        "NewYearsDay", "IndependenceDay", "ChristmasDay", "MLKingsBirthday", "MemorialDay", "LaborDay",
-        "ThanksgivingDay", "ElectionDay", "GoodFriday",
-    )
-    found = dates.holiday_flags(F.col("o_orderdate"), names)
+    found = dates.holiday_flags(F.col("o_orderdate"))
     return t.orders.select("o_orderkey", *[c.alias(n) for n, c in found.items()])
 
 

@@ -165,3 +165,16 @@ def nested_rows(t: Tables):
     """A small table nested in every row, and taken out again."""
     packed = reshape.nest(t.part, ["p_partkey"], {"size": "p_size", "price": "p_retailprice"}, "measure", "amount", "table")
     return reshape.unnest(packed, "table")
+
+
+@query(
+    "SELECT CAST(count(*) AS BIGINT) AS n, "
+    + ", ".join(f'CAST(sum(CASE WHEN l_linenumber = {i} THEN 1 ELSE 0 END) AS DOUBLE) AS "l_linenumber_{i}"' for i in range(2, 8))
+    + " FROM lineitem"
+)
+def number_as_category(t: Tables):
+    """A number turned into a category and then into dummies, counted."""
+    df = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    baked = Recipe("l_quantity", ids=["l_orderkey"]).as_category("l_linenumber").dummies().fit(df).bake(df)
+    names = sorted(c for c in baked.columns if c.startswith("l_linenumber"))
+    return baked.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).cast("double").alias(c) for c in names])

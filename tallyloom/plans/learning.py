@@ -293,6 +293,6 @@ def lime_heatmap(t: Tables):
 @query()
 def lime_case_view(t: Tables):
     """The first explained case with the direction of each weight."""
-    rows = _explained(t).persist()
+    rows = _explained(t)
     first = rows.agg(F.min("case")).first()[0]
     return explain.case_view(rows, first)

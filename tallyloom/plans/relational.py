@@ -8,7 +8,7 @@ from ..functions.money import money, turnover_cost
 from ..functions.nulls import case_when, half_even, if_else, is_in, ratio, strict
 from ..functions.text import first_match, join_text, piece, replace_first, template
 from ..operators import aggregates, binning, columns, joins, kpi, ordering, quantiles, reshape, rows
-from ..session import cut_lineage, scratch_path
+from ..session import kept, scratch_path
 from ..sources import tables as src
 from .registration import Tables, query
 
@@ -229,7 +229,7 @@ def data_carry_bind(t: Tables):
     key = ["p_partkey"]
     parts = joins.carry_key(t.part, key, ["p_name", "p_brand"], ["p_type"], ["p_size", "p_retailprice"])
     whole = joins.bind(parts, key)
-    whole = cut_lineage(whole)  # it is read once per type
+    whole = kept(whole, "parts")  # it is read once per type
     by_type = joins.split_by(whole, "p_type")
     return joins.merge(list(by_type.values()))
 

@@ -55,3 +55,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(root)
     return df.checkpoint(eager=True)
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """Computed once, into a table of the shared scratch folder, for what is read several times."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
