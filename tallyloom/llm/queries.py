@@ -70,7 +70,24 @@ def op3_language(table):
     return language.identify(table("documents"))
 
 
-@query()
+@query(
+    """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+    m AS (SELECT doc_id, list_transform(range(0, greatest(0, len(x) // 2 - 99)), lambda p: md5_number(substr(x, 2 * p + 1, 200))) AS m FROM d),
+    w AS (SELECT doc_id, unnest(m) AS m, generate_subscripts(m, 1) - 1 AS p FROM m),
+    h AS (SELECT doc_id, p, row_number() OVER (PARTITION BY m ORDER BY doc_id, p) AS nth FROM w),
+    l AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM h WHERE nth > 1),
+    i AS (SELECT doc_id, p, sum(CASE WHEN p - before <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS island FROM l),
+    s AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM i GROUP BY doc_id, island),
+    n AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM s GROUP BY doc_id),
+    k AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t FROM s
+          UNION ALL SELECT doc_id, max(b), NULL FROM s GROUP BY doc_id),
+    y AS (SELECT d.doc_id, string_agg(substr(x, 2 * f + 1, 2 * (coalesce(t, len(x) // 2) - f)), '' ORDER BY f) AS y FROM d JOIN k USING (doc_id) GROUP BY d.doc_id)
+    SELECT d.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(y, x))) AS kept_sha256
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN y USING (doc_id)
+    """
+)
 def op4_suffix_dedup(table):
     """Repeated strings of 100 bytes removed."""
     out = suffix_dedup.dedup_bytes(table("documents"), length=100)
