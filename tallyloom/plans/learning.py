@@ -165,7 +165,7 @@ def mlp(t: Tables):
     return evaluate.with_label(scored, evaluate.best_threshold(evaluate.threshold_table(known)))
 
 
-#: Network sizes and numbers of epochs of the two searches.
+# Network sizes and numbers of epochs of the two searches.
 GRIDS = (
     (((10, 10), (20, 20), (30, 30)), (10, 20, 30)),
     (((10, 10, 10), (50, 20, 10), (20, 20, 20)), (10, 50, 100)),
