@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from ..operators import joins, linear, models, split, trees
@@ -304,3 +305,18 @@ def first_splits(t: Tables):
         rows.append((name, names[found.feature[0]], *[float(v) for v in (found.threshold[0], found.weight[a], found.weight[b], found.value[a], found.value[b])]))
     out = t.spark.createDataFrame(rows, "model_id string, feature string, threshold double, left_rows double, right_rows double, left_value double, right_value double")
     return out.withColumns({c: F.round(c, d) for c, d in (("threshold", 6), ("left_value", 4), ("right_value", 4))})
+
+
+@query(
+    """
+WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS mx, avg(l_extendedprice) AS my, stddev_samp(l_quantity) AS sx,
+                  stddev_samp(l_extendedprice) AS sy, corr(l_extendedprice, l_quantity) AS r FROM lineitem),
+b AS (SELECT *, greatest(0.0, r * (n - 1) / n - 5000 * 0.3 / sy) / ((n - 1) / CAST(n AS DOUBLE) + 5000 * 0.7 / sy) * sy / sx AS slope FROM s)
+SELECT term, round(estimate, 1) AS estimate FROM (
+  SELECT '(Intercept)' AS term, my - slope * mx AS estimate FROM b UNION ALL SELECT 'l_quantity', slope FROM b)"""
+)
+def elastic_net_line(t: Tables):
+    """A line under the mixed penalty, whose solution has a closed form."""
+    fit = LinearRegression(featuresCol="features", labelCol="l_extendedprice", regParam=5000.0, elasticNetParam=0.3, tol=1e-12, maxIter=500)
+    found = models.workflow(["l_quantity"], fit).fit(t.lineitem.select("l_quantity", "l_extendedprice"))
+    return models.coefficients(t.spark, found, ["l_quantity"]).withColumn("estimate", F.round("estimate", 1))
