@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import automl, cluster, evaluate, explain, halving, joins, reshape, split
+from ..operators import automl, cluster, evaluate, explain, halving, joins, manymeans, reshape, split
 from ..sources.registry import ModelRegistry
 from ..session import scratch_path
 from .registration import Tables, query
@@ -39,6 +40,20 @@ def centers_table(t: Tables):
     return cluster.within_ss(found, "embedding", "cluster", centers).withColumn("withinss", F.round("withinss", 5))
 
 
+@query(
+    _NEAREST
+    + """SELECT CAST(cluster AS INTEGER) AS cluster, CAST(i AS INTEGER) AS position, round(avg(v::DOUBLE), 6) AS value
+FROM a JOIN e USING (vec_id) GROUP BY cluster, i"""
+)
+def kmeans_step(t: Tables):
+    """Centers after one step of the common passes, from the label means."""
+    starts = cluster.mean_centers(t.embeddings, "embedding", "label")
+    vectors = manymeans.rows_of(t.embeddings, "embedding")
+    (centers,) = manymeans.moved(vectors, [np.array([c for _, c in starts])])
+    rows = [(int(k), i + 1, float(v)) for (k, _), c in zip(starts, centers) for i, v in enumerate(c)]
+    return t.spark.createDataFrame(rows, "cluster int, position int, value double").withColumn("value", F.round("value", 6))
+
+
 def _vectors(t: Tables):
     return reshape.array_vectors(t.embeddings.select("vec_id", "label", "embedding"), "embedding").drop("embedding").persist()
 
