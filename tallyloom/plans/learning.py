@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import automl, cluster, evaluate, explain, halving, joins, manymeans, reshape, split
+from ..operators import automl, cluster, evaluate, explain, halving, joins, manymeans, projection, reshape, split
 from ..sources.registry import ModelRegistry
 from ..session import scratch_path
 from .registration import Tables, query
@@ -88,6 +88,24 @@ def project_2d(t: Tables):
     return cluster.project_2d(_vectors(t), ["vec_id"])
 
 
+@query(
+    """
+WITH s AS (SELECT var_samp(x) AS a, var_samp(y) AS b, covar_samp(x, y) AS c FROM (SELECT CAST(l_quantity AS DOUBLE) AS x, l_extendedprice / 1000 AS y FROM lineitem)),
+l AS (SELECT *, (a + b) / 2 AS m, sqrt(pow((a - b) / 2, 2) + c * c) AS d FROM s),
+v AS (SELECT 1 AS component, m + d AS variance, c AS x, m + d - a AS y FROM l UNION ALL SELECT 2, m - d, c, m - d - a FROM l),
+n AS (SELECT component, variance, x / sqrt(x * x + y * y) AS x, y / sqrt(x * x + y * y) AS y FROM v),
+g AS (SELECT *, CASE WHEN abs(x) >= abs(y) THEN sign(x) ELSE sign(y) END AS g FROM n)
+SELECT component, round(variance, 4) AS variance, round(x * g, 5) AS x, round(y * g, 5) AS y FROM g"""
+)
+def two_components(t: Tables):
+    """Principal components of two measures, which have a closed form."""
+    df = t.lineitem.select(F.array(F.col("l_quantity").cast("double"), F.col("l_extendedprice") / 1000).alias("v"))
+    _, components, variance = projection.leading_components(reshape.array_vectors(df, "v"), 2)
+    rows = [(i + 1, float(variance[i]), float(components[0, i]), float(components[1, i])) for i in range(2)]
+    out = t.spark.createDataFrame(rows, "component int, variance double, x double, y double")
+    return out.withColumns({"variance": F.round("variance", 4), "x": F.round("x", 5), "y": F.round("y", 5)})
+
+
 @query()
 def segments_joined(t: Tables, restarts: int = 20):
     """Users clustered by their daily returns: projection, cluster and user attributes."""
