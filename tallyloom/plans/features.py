@@ -79,7 +79,31 @@ def yeo_johnson_fixed(t: Tables):
     return out.select("event_id", F.round("value", 6).alias("value"), F.round("shifted", 6).alias("shifted"))
 
 
-@query()
+def _changed(lam: str) -> str:
+    return f"""CASE WHEN value >= 0 THEN CASE WHEN abs({lam}) < 1e-3 THEN ln(1 + value) ELSE (pow(value + 1, {lam}) - 1) / {lam} END
+            WHEN abs({lam} - 2) < 1e-3 THEN -ln(1 - value) ELSE -(pow(1 - value, 2 - {lam}) - 1) / (2 - {lam}) END"""
+
+
+def _grid_round(i: int) -> str:
+    """21 parameters between the borders of the round before, the likelihood of each, the best and the next borders."""
+    return f"""
+g{i} AS (SELECT a, b, a + (b - a) * k / 20 AS lam FROM s{i - 1}, range(21) t(k)),
+v{i} AS (SELECT lam, any_value(a) AS a, any_value(b) AS b, var_pop({_changed("lam")}) AS v FROM g{i}, events GROUP BY lam),
+b{i} AS (SELECT * FROM v{i}, j WHERE v > 0 ORDER BY -0.5 * ln(v) + (lam - 1) * j DESC LIMIT 1),
+s{i} AS (SELECT lam, greatest(-5.0, lam - (b - a) / 20) AS a, least(5.0, lam + (b - a) / 20) AS b FROM b{i}),"""
+
+
+_SKEW = "(avg(pow({0}, 3)) - 3 * avg({0}) * avg({0} * {0}) + 2 * pow(avg({0}), 3)) / pow(var_pop({0}), 1.5)"
+
+
+@query(
+    "WITH j AS (SELECT avg(sign(value) * ln(1 + abs(value))) AS j FROM events), s0 AS (SELECT -5.0::DOUBLE AS a, 5.0::DOUBLE AS b),"
+    + "".join(_grid_round(i) for i in range(1, 5))
+    + f"""
+c AS (SELECT value, lam, {_changed("lam")} AS changed FROM events, s4)
+SELECT round(any_value(lam), 6) AS lambda, round({_SKEW.format("value")}, 5) AS skewness_before,
+       round({_SKEW.format("changed")}, 5) AS skewness_after FROM c"""
+)
 def yeo_johnson_fit(t: Tables):
     """Fitted parameters with the skewness before and after."""
     df = t.events.select("event_id", "value")
@@ -87,7 +111,8 @@ def yeo_johnson_fit(t: Tables):
     lam = fitted.steps[0][1]["lambdas"]["value"]
     both = df.withColumn("changed", recipe.yeo_johnson(F.col("value"), lam))
     return both.agg(
-        F.lit(lam).alias("lambda"), F.skewness("value").alias("skewness_before"), F.skewness("changed").alias("skewness_after")
+        F.round(F.lit(lam), 6).alias("lambda"), F.round(F.skewness("value"), 5).alias("skewness_before"),
+        F.round(F.skewness("changed"), 5).alias("skewness_after"),
     )
 
 

@@ -98,9 +98,7 @@ def ols_multi(t: Tables):
     return linear.coefficient_table(t.spark, fit).select("term", F.round("estimate", 3).alias("estimate"))
 
 
-@query()
-def ols_coefficients(t: Tables):
-    """Price on size and type, with standard errors and p-values; smallest p first."""
+def _price_terms(t: Tables):
     baked = _baked(t)
     names = [c for c in baked.columns if c.startswith(("p_size", "p_type_"))]
     return linear.coefficient_table(t.spark, linear.least_squares(baked, names, "p_retailprice"))
@@ -113,23 +111,45 @@ s AS (SELECT sum(pow(p_size - mx, 2)) AS sxx, sum((p_size - mx) * (p_retailprice
 """
 
 
-@query(
+_TERMS = (
     "WITH part_rows AS (SELECT * FROM part),"
     + _WITHIN
     + """
-e AS (SELECT sum(pow(p_retailprice - my - b * (p_size - mx), 2)) / (count(*) - (SELECT count(*) FROM m) - 1) AS s2 FROM part_rows JOIN m USING (p_type), s),
+e AS (SELECT count(*) - (SELECT count(*) FROM m) - 1 AS dof, sum(pow(p_retailprice - my - b * (p_size - mx), 2)) / (count(*) - (SELECT count(*) FROM m) - 1) AS s2
+      FROM part_rows JOIN m USING (p_type), s),
 f AS (SELECT n AS n1, mx AS mx1, my AS my1 FROM m ORDER BY p_type LIMIT 1),
 c AS (
   SELECT '(Intercept)' AS term, my1 - b * mx1 AS estimate, sqrt(s2 * (1.0 / n1 + mx1 * mx1 / sxx)) AS std_error FROM f, s, e
   UNION ALL SELECT 'p_size', b, sqrt(s2 / sxx) FROM s, e
   UNION ALL SELECT 'p_type_' || p_type, my - my1 - b * (mx - mx1), sqrt(s2 * (1.0 / n + 1.0 / n1 + pow(mx - mx1, 2) / sxx))
   FROM m, f, s, e WHERE p_type > (SELECT min(p_type) FROM m))
-SELECT term, round(estimate, 4) AS estimate, round(std_error, 5) AS std_error, round(estimate / std_error, 4) AS statistic FROM c"""
+"""
 )
+_ERRORS = "SELECT term, round(estimate, 4) AS estimate, round(std_error, 5) AS std_error, round(estimate / std_error, 4) AS statistic"
+
+
+@query(
+    _TERMS
+    # The density of Student's t from 0 to the statistic (100 at most) by Simpson's rule over 4,000 steps.
+    + """
+, x AS (SELECT term, least(abs(estimate / std_error), 100.0) / 4000 AS w FROM c),
+i AS (SELECT term, sum(CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * pow(1 + pow(k * w, 2) / dof, -(dof + 1) / 2.0)) * any_value(w) / 3 AS area
+      FROM x, e, range(4001) r(k) GROUP BY term),
+q AS (SELECT term, greatest(0.0, 1 - 2 * area * exp(lgamma((dof + 1) / 2.0) - lgamma(dof / 2.0)) / sqrt(pi() * dof)) AS p FROM i, e)
+"""
+    + _ERRORS
+    + ", round(p, 6) AS p_value FROM c JOIN q USING (term)"
+)
+def ols_coefficients(t: Tables):
+    """Price on size and type, with standard errors and p-values."""
+    digits = {"estimate": 4, "std_error": 5, "statistic": 4, "p_value": 6}
+    return _price_terms(t).withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
+@query(_TERMS + _ERRORS + " FROM c")
 def ols_errors(t: Tables):
     """Estimates with standard errors and test statistics of price on size and type."""
-    fitted = ols_coefficients(t)
-    return fitted.select("term", F.round("estimate", 4).alias("estimate"), F.round("std_error", 5).alias("std_error"), F.round("statistic", 4).alias("statistic"))
+    return ols_coefficients(t).drop("p_value")
 
 
 _GROUP_LINE = """
@@ -170,11 +190,63 @@ def ols_interval(t: Tables):
     )
 
 
-@query()
+def _times(a: str, b: str) -> str:
+    """Product modulo 2^64 of two unsigned numbers kept as HUGEINT."""
+    return f"((({a} % 4294967296) * {b} + ((({a} // 4294967296) * ({b} % 4294967296)) % 4294967296) * 4294967296) % 18446744073709551616)"
+
+
+def _turned(a: str, bits: int) -> str:
+    return f"(({a} % {1 << (64 - bits)}) * {1 << bits} + {a} // {1 << (64 - bits)})"
+
+
+# The primes of xxHash64.
+_P1, _P2, _P3, _P4, _P5 = (
+    f"{p}::HUGEINT" for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+)
+_WRAP = "18446744073709551616"
+
+
+def _finished(source: str, name: str) -> str:
+    """Last steps of xxHash64 on column h."""
+    return f"""
+{name}1 AS (SELECT * EXCLUDE h, {_times("xor(h, h // 8589934592)", _P2)} AS h FROM {source}),
+{name}2 AS (SELECT * EXCLUDE h, {_times("xor(h, h // 536870912)", _P3)} AS h FROM {name}1),
+{name} AS (SELECT * EXCLUDE h, xor(h, h // 4294967296) AS h FROM {name}2),"""
+
+
+def _then_int(source: str, value: str, name: str) -> str:
+    """Goes on with a further int column, as the engine's ``xxhash64`` does."""
+    return f"""
+{name}_a AS (SELECT * EXCLUDE h, xor((h + {_P5} + 4) % {_WRAP}, {_times(f"({value})::HUGEINT", _P1)}) AS h FROM {source}),
+{name}_b AS (SELECT * EXCLUDE h, {_turned("h", 23)} AS h FROM {name}_a),
+{name}_c AS (SELECT * EXCLUDE h, ({_times("h", _P2)} + {_P3}) % {_WRAP} AS h FROM {name}_b),""" + _finished(f"{name}_c", name)
+
+
+@query(
+    f"""
+WITH k0 AS (SELECT CAST(p_size AS DOUBLE) AS x, p_retailprice AS y, {_times("p_partkey::HUGEINT", _P2)} AS h FROM part WHERE p_size IS NOT NULL AND p_retailprice IS NOT NULL),
+k1 AS (SELECT x, y, {_turned("h", 31)} AS h FROM k0),
+k2 AS (SELECT x, y, xor((42 + {_P5} + 8) % {_WRAP}, {_times("h", _P1)}) AS h FROM k1),
+k3 AS (SELECT x, y, {_turned("h", 27)} AS h FROM k2),
+k4 AS (SELECT x, y, ({_times("h", _P1)} + {_P4}) % {_WRAP} AS h FROM k3),"""
+    + _finished("k4", "z")
+    + "r AS (SELECT x, y, h, b FROM z, range(1, 201) t(b)),"
+    + _then_int("r", "b", "u")
+    + _then_int("u", "1", "v")
+    + f"""
+d AS (SELECT b, x, y, CAST(h // 2048 AS DOUBLE) / 9007199254740992 AS u FROM v),
+w AS (SELECT b, x, y, {" + ".join(f"CAST(u >= {c!r}::DOUBLE AS INT)" for c in linear._POISSON)} AS w FROM d),
+m AS (SELECT b, sum(w) AS n, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM w GROUP BY b),
+l AS (SELECT b, any_value(mx) AS mx, any_value(my) AS my, sum(w * (x - mx) * (y - my)) / sum(w * (x - mx) * (x - mx)) AS slope FROM w JOIN m USING (b) GROUP BY b),
+g AS (SELECT p AS p_size, my + slope * (p - mx) AS pred FROM l, (SELECT unnest([1.0::DOUBLE, 25.0, 50.0]) AS p)),
+s AS (SELECT p_size, avg(pred) AS pred, list_sort(list(pred)) AS o FROM g GROUP BY p_size)
+SELECT p_size, round(pred, 4) AS pred, round(o[6], 4) AS pred_lower, round(o[195], 4) AS pred_upper FROM s"""
+)
 def bootstrap_interval(t: Tables):
     """Bootstrap interval of the mean price at three sizes."""
     points = joins.expand_grid(t.spark, p_size=[1.0, 25.0, 50.0])
-    return linear.bootstrap_interval(t.part, "p_partkey", ["p_size"], "p_retailprice", points, replicates=200)
+    out = linear.bootstrap_interval(t.part, "p_partkey", ["p_size"], "p_retailprice", points, replicates=200)
+    return out.withColumns({c: F.round(c, 4) for c in ("pred", "pred_lower", "pred_upper")})
 
 
 @query(
