@@ -5,18 +5,19 @@ that cannot have an equal are set aside first, without loss:
 
 1. Every window of ``length`` bytes names an anchor: the place of its smallest 8-byte hash. The choice depends on the
    bytes of the window alone, so equal windows name the same place. Consecutive windows with one anchor form a run.
-2. A run whose 32 bytes from the anchor occur nowhere else has no equal window. Of runs with equal bytes all but the
-   earliest are removed as a whole.
+2. A run whose 32 bytes from the anchor (its leading token) occur at no other anchor has no equal window and is done.
+   This is all that hashes of tokens decide: a run that is alone is left out, equality is left to the sort.
 3. The windows of the remaining runs are the suffixes to sort. Sampled splitters deal the runs to ranges of their
-   leading tokens, the 32 bytes from the anchor (equal windows share them); document and place follow as further sort
-   keys, so a leading token that many documents hold is spread over several ranges. Each range sorts the suffixes that
-   start at its windows by multikey quicksort; of a run of equal suffixes the earliest stays.
-4. Only the first and last leading token of a range can go on in another range. Where one does, the earliest of its
+   leading tokens (equal windows share them); document and place follow as further sort keys, so a leading token that
+   many documents hold is spread over several ranges.
+4. Each range sorts by multikey quicksort, twice. First the first and the last suffix of every run: runs that agree in
+   both are equal byte by byte, and all but the earliest go as a whole. Then all suffixes of the runs that are left; of
+   equal suffixes the earliest stays. So a range with a thousand copies sorts their suffixes once.
+5. Only the first and last leading token of a range can go on in another range. Where one does, the earliest of its
    suffixes of every kind are compared across the borders by the hash (128 bits) of their bytes. They leave a range
    packed, one record per leading token; the others of a border are never sent.
 
-Batches send one record per distinct run. A leading token with many different surroundings in a batch is known to
-repeat: it leaves a few witnesses with its own part, and the other records are spread by their surroundings.
+A batch sends one record per distinct leading token. Runs whose token repeats in the batch are known to need the sort.
 """
 
 from __future__ import annotations
@@ -37,12 +38,10 @@ from .multikey import multikey_quicksort, words_of
 TOKEN = 32
 #: Window starts examined at a time.
 PLACES_AT_ONCE = 1 << 18
-#: Records of one leading token that a batch leaves with the part of that token.
-WITNESSES = 4
 #: Runs per range of the suffix sort.
-RUNS_PER_RANGE = 1 << 13
-#: Leading token (48 bits), bytes of the run, windows in it, place of the anchor in it, known to repeat.
-RUN = (("<u8", 6), ("<u8", None), ("u1", None), ("u1", None), ("u1", None))
+RUNS_PER_RANGE = 1 << 15
+#: Leading token (48 bits), windows in the run, place of the anchor in it, known to repeat.
+RUN = (("<u8", 6), ("u1", None), ("u1", None), ("u1", None))
 
 
 def runs_in(raw: np.ndarray, borders: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,38 +88,35 @@ def runs_in(raw: np.ndarray, borders: np.ndarray, length: int) -> tuple[np.ndarr
 
 
 def runs_of(batches: Iterator[pa.RecordBatch], length: int, parts: int):
-    """Packed runs per part (kind 1) and runs that are equal to an earlier one of the batch (kind 0)."""
+    """Packed runs per part (kind 1), one per leading token of the batch; runs whose token repeats in it (kind 2)."""
     for batch in batches:
         batch = in_key_order(batch)
         raw, borders = texts_of(batch.column("text"))
         document, start, count, anchor, token = runs_in(raw, borders, length)
         if len(start) == 0:
             continue
-        view = memoryview(raw)
-        ends = start + count + length - 1
-        code = np.fromiter((xxhash.xxh3_64_intdigest(view[s:e]) for s, e in zip(start.tolist(), ends.tolist())), np.uint64, len(start))
         keys = np.asarray(batch.column("key"))[document]
         places = start - borders[document]
         token &= np.uint64((1 << 48) - 1)
-        _, first = first_of_equal(code, token)
-        yield from known(keys[~first], places[~first], count[~first], parts)
-        keys, places, count, anchor, token, code = (c[first] for c in (keys, places, count, anchor, token, code))
-        order = np.argsort(token, kind="stable")
-        ordered = token[order]
-        begin = np.searchsorted(ordered, ordered)
-        nth = np.empty(len(token), np.int64)
-        nth[order] = np.arange(len(token)) - begin
-        many = np.empty(len(token), bool)
-        many[order] = np.searchsorted(ordered, ordered, "right") - begin > 1
-        to = np.where(nth < WITNESSES, mixed(token), folded(token, code)) % np.uint64(parts)
+        group, first = first_of_equal(token)
+        many = np.bincount(group)[group] > 1
+        yield from to_sort(keys[many], places[many], count[many], anchor[many], parts)
+        keys, places, token, count, anchor, many = (c[first] for c in (keys, places, token, count, anchor, many))
         part, data = [], []
-        for p, i in by_part(to.astype(np.int64), parts):
+        for p, i in by_part((mixed(token) % np.uint64(parts)).astype(np.int64), parts):
             part.append(p)
-            data.append(pack(keys[i], places[i], (token[i], 6), (code[i], None), (count[i].astype(np.uint8), None),
-                             (anchor[i].astype(np.uint8), None), (many[i].astype(np.uint8), None)))
+            data.append(pack(keys[i], places[i], (token[i], 6), (count[i].astype(np.uint8), None), (anchor[i].astype(np.uint8), None),
+                             (many[i].astype(np.uint8), None)))
         yield sent(part, data, 1)
 
 
+def to_sort(keys: np.ndarray, places: np.ndarray, count: np.ndarray, anchor: np.ndarray, parts: int):
+    """Runs whose windows have to be sorted (kind 2), packed by document."""
+    found = answers(keys, places, parts, (count.astype(np.uint8), None), (anchor.astype(np.uint8), None))
+    if found is not None:
+        yield found.set_column(1, SENT.field("kind"), pa.array(np.full(found.num_rows, 2, np.int8)))
+
+
 def sent(part: list[int], data: list[bytes], kind: int) -> pa.RecordBatch:
     n = len(part)
     return pa.RecordBatch.from_arrays(
@@ -142,37 +138,32 @@ def known(keys: np.ndarray, places: np.ndarray, windows: np.ndarray, parts: int)
 
 
 def resolved(batches: Iterator[pa.RecordBatch], parts: int):
-    """Runs of a part against each other: removed ones (kind 0) and those whose windows have to be sorted (kind 2)."""
+    """Runs whose leading token occurs elsewhere (kind 2)."""
     held = []
     for batch in batches:
         kind, data = np.asarray(batch.column("kind")), batch.column("data")
-        if (kind == 0).any():
-            yield batch.filter(pa.array(kind == 0))
+        if (kind == 2).any():
+            yield batch.filter(pa.array(kind == 2))
         held += [unpack(data[int(i)].as_py(), *RUN) for i in np.flatnonzero(kind == 1)]
     if not held:
         return
-    columns = [np.concatenate(c) for c in zip(*held)]
-    order = np.lexsort((columns[1], columns[0]))
-    keys, places, token, code, count, anchor, many = (c[order] for c in columns)
-    _, first = first_of_equal(code, token)
-    yield from known(keys[~first], places[~first], count[~first].astype(np.int64), parts)
-    keys, places, token, count, anchor, many = (c[first] for c in (keys, places, token, count, anchor, many))
+    keys, places, token, count, anchor, many = (np.concatenate(c) for c in zip(*held))
     group, _ = first_of_equal(token)
-    open_ = (np.bincount(group)[group] > 1) | (np.bincount(group, many)[group] > 0)
-    todo = answers(keys[open_], places[open_], parts, (count[open_], None), (anchor[open_], None))
-    if todo is not None:
-        yield todo.set_column(1, SENT.field("kind"), pa.array(np.full(todo.num_rows, 2, np.int8)))
+    repeats = (np.bincount(group)[group] > 1) | (many > 0)
+    open_ = repeats & (many == 0)  # the others are on their way
+    yield from to_sort(keys[open_], places[open_], count[open_], anchor[open_], parts)
 
 
-BLOCK = pa.schema([("lead", pa.binary()), ("key", pa.int64()), ("place", pa.int64()), ("windows", pa.int32()), ("block", pa.binary())])
+BLOCK = pa.schema([("anchor", pa.int32()), ("key", pa.int64()), ("place", pa.int64()), ("windows", pa.int32()), ("block", pa.binary())])
+BLOCK_SQL = "anchor int, key long, place long, windows int, block binary"
 
 
 def blocks_of(documents, length: int):
-    """The bytes of the runs to sort, with their leading token."""
+    """The bytes of the runs to sort."""
     rows: list[tuple] = []
     for key, _, text, (places, count, anchor) in documents:
         for p, c, a in zip(places.tolist(), count.tolist(), anchor.tolist()):
-            rows.append((text[p + a : p + a + TOKEN], key, p, c, text[p : p + c + length - 1]))
+            rows.append((a, key, p, c, text[p : p + c + length - 1]))
         if len(rows) >= 20_000:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), BLOCK)], schema=BLOCK)
             rows = []
@@ -190,24 +181,41 @@ def widened(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, pa.binary()), pa.nulls(batch.num_rows, pa.int32())], schema=SORTED)
 
 
+def earliest_runs(words: np.ndarray, begin: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
+    """Whether each run, in the order of their age, is the earliest of its equal ones.
+
+    The first and the last window of a run cover it (a run has fewer than ``length`` windows), so runs with as many
+    windows that agree in both are equal.
+    """
+    order, run = multikey_quicksort(words, np.concatenate([begin, begin + windows - 1]), length)
+    kind = np.empty(len(order), np.int64)
+    kind[order] = run
+    return first_of_equal(kind[: len(begin)], kind[len(begin) :], windows)[1]
+
+
 def sort_range(batches: Iterator[pa.RecordBatch], length: int, parts: int):
     """Sorts the suffixes of one range; gives removed windows (kind 0) and, packed, the earliest of each kind of its
     first and last leading token (kind 3)."""
     table = pa.Table.from_batches(list(batches), schema=BLOCK)  # a range holds a bounded number of runs
     if table.num_rows == 0:
         return
-    table = table.combine_chunks()
-    lead = table.column("lead").to_pylist()
+    table = table.sort_by([("key", "ascending"), ("place", "ascending")]).combine_chunks()
+    raw, borders = texts_of(table.column("block").chunk(0))
+    anchor, keys, places, windows = (np.asarray(table.column(c).chunk(0)).astype(np.int64) for c in ("anchor", "key", "place", "windows"))
+    words, view = words_of(raw), memoryview(raw)
+    begin = borders[:-1]
+    own = earliest_runs(words, begin, windows, length)
+    for found in known(keys[~own], places[~own], windows[~own], parts):
+        yield widened(found)
+    begin, anchor, keys, places, windows = (c[own] for c in (begin, anchor, keys, places, windows))
+    lead = [bytes(view[s : s + TOKEN]) for s in (begin + anchor).tolist()]
     low, high = min(lead), max(lead)
     side = np.array([1 if x == low else 2 if x == high else 0 for x in lead])
-    raw, borders = texts_of(table.column("block").chunk(0))
-    keys, places = np.asarray(table.column("key").chunk(0)), np.asarray(table.column("place").chunk(0))
-    windows = np.asarray(table.column("windows").chunk(0)).astype(np.int64)
     of = np.repeat(np.arange(len(windows)), windows)
     step = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-    starts = borders[:-1][of] + step
+    starts = begin[of] + step
     key, place, side = keys[of], places[of] + step, side[of]
-    order, run = multikey_quicksort(words_of(raw), starts, length)
+    order, run = multikey_quicksort(words, starts, length)
     by_age = order[np.lexsort((place[order], key[order], run))]
     first = np.ones(len(order), bool)
     first[1:] = run[1:] != run[:-1]  # runs keep their places of the order
@@ -215,7 +223,7 @@ def sort_range(batches: Iterator[pa.RecordBatch], length: int, parts: int):
     for found in known(key[later], place[later], np.ones(len(later), np.int64), parts):
         yield widened(found)
     kept = by_age[first]
-    view, number = memoryview(raw), TaskContext.get().partitionId()
+    number = TaskContext.get().partitionId()
     for which, token in ((1, low), (2, high)):
         some = kept[side[kept] == which]
         if len(some) == 0:
@@ -320,13 +328,13 @@ def dedup_keyed(rows: DataFrame, total: int, length: int, with_key: bool) -> Dat
     dealt = dealt.repartitionById(parts, F.col("to")).drop("to")
     met = stored(dealt.mapInArrow(lambda it: resolved(it, parts), SENT_SQL), "runs")
     kinds = (("u1", None), ("u1", None))
-    todo = met.filter("kind = 2").withColumn("kind", F.lit(0).cast("byte"))
-    blocks = delivered(rows, todo, parts, kinds, lambda d: blocks_of(d, length), "lead binary, key long, place long, windows int, block binary")
+    todo = met.withColumn("kind", F.lit(0).cast("byte"))
+    blocks = delivered(rows, todo, parts, kinds, lambda d: blocks_of(d, length), BLOCK_SQL)
     blocks = stored(blocks, "blocks")
     ranges = max(1, -(-blocks.count() // RUNS_PER_RANGE))
-    dealt = blocks.repartitionByRange(ranges, "lead", "key", "place")
+    lead = F.substring("block", F.col("anchor") + 1, F.lit(TOKEN))
+    dealt = blocks.repartitionByRange(ranges, lead, "key", "place")
     sorted_ = stored(dealt.mapInArrow(lambda it: sort_range(it, length, parts), SORTED_SQL), "sorted")
-    removed = met.filter("kind = 0").select(*SENT.names)
-    removed = removed.unionByName(sorted_.filter("kind = 0").select(*SENT.names)).unionByName(across_borders(sorted_.filter("kind = 3"), parts))
+    removed = sorted_.filter("kind = 0").select(*SENT.names).unionByName(across_borders(sorted_.filter("kind = 3"), parts))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     return delivered(rows, removed, parts, (("<u4", None),), lambda d: kept_bytes(d, length, with_key), schema)
