@@ -10,9 +10,10 @@ that cannot have an equal are set aside first, without loss:
 3. The windows of the remaining runs are the suffixes to sort. Sampled splitters deal the runs to ranges of their
    leading tokens (equal windows share them); document and place follow as further sort keys, so a leading token that
    many documents hold is spread over several ranges.
-4. Each range sorts by multikey quicksort, twice. First the first and the last suffix of every run: runs that agree in
-   both are equal byte by byte, and all but the earliest go as a whole. Then all suffixes of the runs that are left; of
-   equal suffixes the earliest stays. So a range with a thousand copies sorts their suffixes once.
+4. Each range sorts by multikey quicksort, twice. First the ends of every run: runs that agree in
+   both are equal byte by byte, and all but the earliest go as a whole. Then all suffixes of the runs that are left,
+   but for runs that are now alone with their token; of equal suffixes the earliest stays. So a range with a thousand
+   copies sorts their suffixes once or not at all.
 5. Only the first and last leading token of a range can go on in another range. Where one does, the earliest of its
    suffixes of every kind are compared across the borders by the hash (128 bits) of their bytes. They leave a range
    packed, one record per leading token; the others of a border are never sent.
@@ -184,13 +185,17 @@ def widened(batch: pa.RecordBatch) -> pa.RecordBatch:
 def earliest_runs(words: np.ndarray, begin: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
     """Whether each run, in the order of their age, is the earliest of its equal ones.
 
-    The first and the last window of a run cover it (a run has fewer than ``length`` windows), so runs with as many
-    windows that agree in both are equal.
+    The first window of a run and the suffix of its last bytes cover it (a run has at most ``length - TOKEN + 1``
+    windows), so runs with as many windows that agree in both are equal.
     """
-    order, run = multikey_quicksort(words, np.concatenate([begin, begin + windows - 1]), length)
-    kind = np.empty(len(order), np.int64)
-    kind[order] = run
-    return first_of_equal(kind[: len(begin)], kind[len(begin) :], windows)[1]
+    rest = max(8, length - TOKEN)
+    kinds = []
+    for starts, depth in ((begin, length), (begin + windows + length - 1 - rest, rest)):
+        order, run = multikey_quicksort(words, starts, depth)
+        kind = np.empty(len(order), np.int64)
+        kind[order] = run
+        kinds.append(kind)
+    return first_of_equal(*kinds, windows)[1]
 
 
 def sort_range(batches: Iterator[pa.RecordBatch], length: int, parts: int):
@@ -208,9 +213,12 @@ def sort_range(batches: Iterator[pa.RecordBatch], length: int, parts: int):
     for found in known(keys[~own], places[~own], windows[~own], parts):
         yield widened(found)
     begin, anchor, keys, places, windows = (c[own] for c in (begin, anchor, keys, places, windows))
-    lead = [bytes(view[s : s + TOKEN]) for s in (begin + anchor).tolist()]
-    low, high = min(lead), max(lead)
-    side = np.array([1 if x == low else 2 if x == high else 0 for x in lead])
+    group, _ = first_of_equal(*(words[begin + anchor + j] for j in range(TOKEN - 8, -1, -8)))  # numbered in the order of the tokens
+    side = np.where(group == 0, 1, np.where(group == group.max(), 2, 0))
+    low, high = (bytes(view[s : s + TOKEN]) for s in (begin + anchor)[[group.argmin(), group.argmax()]].tolist())
+    # Equal suffixes share their leading token: a run that is left alone with it has no equal in this range.
+    met = (np.bincount(group)[group] > 1) | (side > 0)
+    begin, keys, places, windows, side = (c[met] for c in (begin, keys, places, windows, side))
     of = np.repeat(np.arange(len(windows)), windows)
     step = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
     starts = begin[of] + step
