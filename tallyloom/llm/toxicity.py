@@ -24,6 +24,8 @@ from .language import FOLD, held_out
 
 #: Learning rows at most, of each label.
 ROWS = {1: 1500, 0: 2500}
+#: Bytes of learning texts at most, of each label, and what a row counts beside its text.
+BYTES, ROW_BYTES = {1: 24 << 20, 0: 40 << 20}, 64
 WINDOW, STRIDE = 24, 6
 WORDS, CHARS, EMBED, HIDDEN = 1 << 16, 1 << 13, 6, 6
 #: Distinct words a task remembers, windows scored at a time.
@@ -269,7 +271,11 @@ class Scorer:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, out) -> Network:
-    """Trains on the driver, on a bounded sample in hash order; the chosen ids, as many at most, are broadcast."""
+    """Trains on the driver, on a sample in hash order that is bounded in rows and in bytes.
+
+    The texts of the chosen ids, as many at most, are measured on the executors. In hash order, ids whose texts would
+    go beyond ``BYTES`` are passed over; the texts of the others are fetched. All texts are scored, whatever their size.
+    """
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).alias("__y"))
     rows = docs.filter(F.col(id_col).isNotNull() & ~out).select(F.col(id_col).alias("__doc")).distinct().join(known, F.col("__doc") == F.col("__id")).select("__id", "__y")
     rows = rows.withColumn("__hash", F.xxhash64("__id"))
@@ -277,8 +283,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     for label, most in ROWS.items():
         some = rows.filter(F.col("__y") == label).orderBy("__hash", "__id").limit(most)
         chosen = some if chosen is None else chosen.unionAll(some)
-    picked = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select("__hash", "__y", F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("t"))
-    got = sorted((h, y, bytes(t)) for h, y, t in picked.limit(2 * sum(ROWS.values())).collect())
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    picked = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select("__hash", "__id", "__y", text.alias("t"))
+    sizes = picked.groupBy("__hash", "__id", "__y").agg(F.sum(F.octet_length("t") + ROW_BYTES).alias("n"))
+    left, ids = dict(BYTES), []
+    for _, i, y, n in sorted(tuple(r) for r in sizes.collect()):
+        if n <= left[y]:
+            left[y] -= n
+            ids.append((i,))
+    fit = docs.sparkSession.createDataFrame(ids, picked.select("__id").schema).toDF("__fit")
+    got = picked.join(F.broadcast(fit), F.col("__id") == F.col("__fit"), "left_semi").collect()
+    got = sorted((h, y, bytes(t)) for h, _, y, t in got)
     return train([t for _, _, t in got], np.array([y for _, y, _ in got], int))
 
 
@@ -287,7 +302,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """doc_id, held_out, score, predicted: a row per input row.
 
     Learns from labels 0 and 1 of rows that are not held out (crc32 of the id as text modulo ``parts`` is ``part``),
-    from at most ``ROWS`` of each label, chosen by a hash of the id; where labels of an id differ, the larger counts.
+    from at most ``ROWS`` and ``BYTES`` of each label, chosen by a hash of the id; where labels of an id differ, the larger counts.
     Whole texts are scored. Null and empty texts, and texts without letters, get the low score of a text without
     words. Without labels of both kinds all scores are the share of label 1. Rows without id are neither held out nor
     learned from. Rows that repeat an id are scored one by one. An empty table gives an empty result. Other columns

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm import language, mixing, packing, suffix_dedup, topk, warc
+from tallyloom.llm import language, mixing, packing, suffix_dedup, topk, toxicity, warc
 import corpus_pipeline as pipeline
 
 from . import plain
@@ -110,3 +110,29 @@ def test_stages_on_awkward_rows(spark):
             if name != "packing":
                 assert out.columns == list(pipeline.COLUMNS)
             assert n == 0 if df is not docs else n > 0 or name in ("language",)
+
+
+def test_toxicity_learns_from_bounded_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append((texts, labels)) or toxicity.Network())
+    monkeypatch.setattr(toxicity, "BYTES", {1: 5_000, 0: 8_000})
+    rows = [(i, "word " * (20_000 if i % 40 == 0 else i % 50)) for i in range(400)] + [(7, "again " * 3), (None, "x"), (9, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("toxic", F.lit("clash")).withColumn("t", F.lit(1))
+    out = toxicity.score(docs, labels)
+    assert out.count() == len(rows)
+    (texts, learned), = seen
+    for label, most in toxicity.BYTES.items():
+        size = sum(len(t) + toxicity.ROW_BYTES for t, y in zip(texts, learned) if y == label)
+        assert most / 2 < size <= most
+    toxicity.score(docs.repartition(7), labels)
+    assert seen[1][0] == texts
+
+
+def test_runs_with_equal_ends_but_other_middles_are_not_equal(spark):
+    # Equal tokens, equal lengths; copies decide by their bytes, not by a hash of the run.
+    head, tail = "the head of the passage that all of them share, word for word, up to here and then ", " from here on the passage goes on as in the others, word for word, to its very end"
+    rows = [(i, f"{head}{'abc'[i % 3] * (1 + i % 2)}{tail} {head}") for i in range(24)]
+    for length in (100, 40, 33, 160):
+        out = suffix_dedup.dedup_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), length=length)
+        assert got(out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))) == sorted(plain.byte_strings(rows, length), key=repr)
