@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..operators import joins, linear, models, split, trees
 from ..operators.recipe import Recipe
+from ..session import scratch_path
+from ..sources.registry import ModelRegistry
 from ..sources.tables import expand_steps, literal_table, uniform_table
 from .registration import Tables, query
 
@@ -392,3 +394,30 @@ def elastic_net_line(t: Tables):
     fit = LinearRegression(featuresCol="features", labelCol="l_extendedprice", regParam=5000.0, elasticNetParam=0.3, tol=1e-12, maxIter=500)
     found = models.workflow(["l_quantity"], fit).fit(t.lineitem.select("l_quantity", "l_extendedprice"))
     return models.coefficients(t.spark, found, ["l_quantity"]).withColumn("estimate", F.round("estimate", 1))
+
+
+@query(
+    """
+WITH f AS (SELECT l_returnflag AS g, regr_intercept(l_extendedprice, l_quantity) AS a, regr_slope(l_extendedprice, l_quantity) AS b,
+                  regr_r2(l_extendedprice, l_quantity) AS r2 FROM lineitem WHERE l_returnflag IN ('A', 'N', 'R') GROUP BY 1),
+p AS (SELECT g, a, b, r2, l_extendedprice AS y, a + b * l_quantity AS p FROM f, lineitem),
+m AS (SELECT g, any_value(a) AS a, any_value(b) AS b, any_value(r2) AS r2, unnest(['rmse', 'rsq', 'mae']) AS metric,
+             unnest([sqrt(avg(pow(y - p, 2))), pow(corr(y, p), 2), avg(abs(y - p))]) AS estimate FROM p GROUP BY g)
+SELECT 'line_' || g AS model_id, 'l_extendedprice' AS response, 'l_quantity' AS features, 'LinearRegression' AS family, round(a, 3) AS intercept, round(b, 5) AS slope,
+       round(r2, 6) AS fitted_rsq, metric, round(estimate, 4) AS estimate FROM m"""
+)
+def saved_lines(t: Tables):
+    """A line per return flag: saved, found in the folder, loaded by id and held against all rows."""
+    registry = ModelRegistry(t.spark, scratch_path(t.spark, "lines"))
+    for flag in ("A", "N", "R"):
+        rows = t.lineitem.filter(F.col("l_returnflag") == flag).select("l_quantity", "l_extendedprice")
+        price = LinearRegression(featuresCol="features", labelCol="l_extendedprice", solver="normal", regParam=0.0)
+        fitted = models.workflow(["l_quantity"], price).fit(rows)
+        registry.save(f"line_{flag}", fitted, "l_extendedprice", ["l_quantity"], {"rsq": fitted.stages[-1].summary.r2})
+    loaded = registry.load_all()
+    terms = [(n, type(m.stages[-1]).__name__.removesuffix("Model"), float(m.stages[-1].intercept), float(m.stages[-1].coefficients[0])) for n, m in loaded.items()]
+    lines = t.spark.createDataFrame(terms, "model_id string, family string, intercept double, slope double")
+    about = registry.table().select("model_id", "response", F.array_join("features", ",").alias("features"),
+                                    F.get_json_object("metrics", "$.rsq").cast("double").alias("fitted_rsq"))
+    out = joins.lookup_chain(models.metrics_all(loaded, t.lineitem, "l_extendedprice"), [(about, ["model_id"]), (lines, ["model_id"])])
+    return out.withColumns({c: F.round(c, d) for c, d in (("intercept", 3), ("slope", 5), ("fitted_rsq", 6), ("estimate", 4))})
