@@ -113,12 +113,11 @@ def fit(features: np.ndarray, languages: list[str], ridge: float = 0.01, lead: f
     if len(features) > features.shape[1]:
         weights, left_out = by_features(features, middle, y, y - centre, ridge)
     else:
-        x = features - middle
-        kernel = (x @ x.T).astype(np.float64)
-        kernel[np.diag_indices(len(x))] += ridge
-        inverse = np.linalg.inv(kernel)
+        inverse = inverted(centred_products(features, middle, ridge))
         dual = inverse @ (y - centre)
-        weights = x.T @ dual
+        weights = -np.outer(middle, dual.sum(axis=0))
+        for at in range(0, len(features), 512):
+            weights += features[at : at + 512].T.astype(np.float64) @ dual[at : at + 512]
         left_out = y - dual / np.diag(inverse)[:, None]
     right = (np.sign(left_out) == y).mean(axis=0)
     bit_weight = np.maximum(2 * right - 1, 1e-3)
@@ -132,6 +131,34 @@ def fit(features: np.ndarray, languages: list[str], ridge: float = 0.01, lead: f
                  surprise.astype(np.float32), familiar)
 
 
+def centred_products(features: np.ndarray, middle: np.ndarray, ridge: float, step: int = 512) -> np.ndarray:
+    """Inner products of the centred rows, with the ridge on the diagonal, without a centred copy of the rows."""
+    kernel = np.empty((len(features), len(features)))
+    pieces = [slice(at, at + step) for at in range(0, len(features), step)]
+    for i, p in enumerate(pieces):
+        x = (features[p] - middle).astype(np.float64)
+        for q in pieces[: i + 1]:
+            kernel[p, q] = x @ (features[q] - middle).astype(np.float64).T
+            kernel[q, p] = kernel[p, q].T
+    kernel[np.diag_indices(len(kernel))] += ridge
+    return kernel
+
+
+def inverted(a: np.ndarray, step: int = 256) -> np.ndarray:
+    """Inverse of a symmetric positive definite matrix in its own memory, some rows and columns at a time."""
+    for at in range(0, len(a), step):
+        own = slice(at, min(at + step, len(a)))
+        pivot = np.linalg.inv(a[own, own])
+        across, down = pivot @ a[own], a[:, own].copy()
+        across[:, own] = pivot
+        down[own] = 0
+        a[:, own] = 0
+        for row in range(0, len(a), step):
+            a[row : row + step] -= down[row : row + step] @ across
+        a[own] = across
+    return a
+
+
 def by_features(features: np.ndarray, middle: np.ndarray, y: np.ndarray, centred: np.ndarray, ridge: float, step: int = 512):
     """Weights and left-out margins from the normal equations, some rows at a time."""
     d = features.shape[1]
@@ -143,8 +170,7 @@ def by_features(features: np.ndarray, middle: np.ndarray, y: np.ndarray, centred
             gram[at : at + step] += x[:, at : at + step].T @ x
         moment += x.T @ centred[p]
     gram[np.diag_indices(d)] += ridge
-    inverse = np.linalg.inv(gram)
-    del gram
+    inverse = inverted(gram)
     weights = inverse @ moment
     left_out = np.empty_like(y)
     for p in pieces:

@@ -136,3 +136,14 @@ def test_runs_with_equal_ends_but_other_middles_are_not_equal(spark):
     for length in (100, 40, 33, 160):
         out = suffix_dedup.dedup_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), length=length)
         assert got(out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))) == sorted(plain.byte_strings(rows, length), key=repr)
+
+
+def test_matrices_are_inverted_in_place():
+    draw = np.random.default_rng(4)
+    for n in (1, 7, 300, 700):
+        f = draw.standard_normal((n, 40)).astype(np.float32)
+        kernel = language.centred_products(f, f.mean(axis=0), 0.01)
+        x = (f - f.mean(axis=0)).astype(np.float64)
+        plain_kernel = x @ x.T + 0.01 * np.eye(n)
+        assert np.allclose(kernel, plain_kernel, atol=1e-3)
+        assert np.allclose(language.inverted(plain_kernel.copy()) @ plain_kernel, np.eye(n), atol=1e-6)
