@@ -92,7 +92,7 @@ def item_positions(df: DataFrame, item: str) -> DataFrame:
 
 
 def user_item_vectors(df: DataFrame, user: str, item: str, value: str, out: str = "features") -> tuple[DataFrame, int]:
-    """One sparse vector per user over all items; absent items count as 0.
+    """One sparse vector per user over all items; absent items, and those whose values are all missing, count as 0.
 
     The long table is summed per (user, item) first, so what is gathered per
     user is at most one entry per distinct item, never raw rows. Returns the
@@ -101,7 +101,8 @@ def user_item_vectors(df: DataFrame, user: str, item: str, value: str, out: str
     cells = df.filter(F.col(item).isNotNull()).groupBy(user, item).agg(F.sum(value).alias("__v"))
     places = item_positions(df, item)
     width = places.count()
-    entry = F.struct("position", F.col("__v").cast("double").alias("v"))
+    # A missing sum has no place among the numbers of a vector; its user stays.
+    entry = F.when(F.col("__v").isNotNull(), F.struct("position", F.col("__v").cast("double").alias("v")))
     lists = attach(cells, places, [item]).groupBy(user).agg(F.array_sort(F.collect_list(entry)).alias("__e"))
     build = _sparse_vector(width)
     vectors = lists.select(user, build(F.col("__e.position"), F.col("__e.v")).alias(out))
