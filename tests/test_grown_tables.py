@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import cluster, reshape
+from tallyloom.operators import cluster, models, reshape, trees
 from tallyloom.plans.relational import daily_returns
 
 
@@ -18,3 +18,68 @@ def test_missing_returns_count_as_zero_and_users_stay(spark):
     assert width == 2 and found == {1: [0, 0.5], 2: [0, 0], 3: [0, 1.5], 4: [0.5, 0]}
     out = cluster.segments(vectors, cluster.kmeans(vectors, 2, 3).centers, "user_id", events.groupBy("user_id").count())
     assert sorted(r.user_id for r in out.collect()) == [1, 2, 3, 4]
+
+
+@pytest.fixture(scope="module")
+def equal_rows(spark):
+    """40 distinct features with 50 rows each, half of them twice."""
+    rng = np.random.default_rng(8)
+    x = np.repeat(np.array([(a, b) for a in range(8) for b in range(5)], float), 50, 0)
+    y = np.where(np.arange(len(x)) % 2, x[:, 0] + x[:, 1] ** 2, np.round(rng.normal(size=len(x)), 3))
+    df = spark.createDataFrame([(v.tolist(), float(w)) for v, w in zip(x, y)], "x array<double>, y double")
+    return x, y, df.withColumn("h", F.xxhash64("x", "y")).repartition(5).persist()
+
+
+def read_by(monkeypatch, run):
+    """Rows that the passes of a fit read, and what it returns."""
+    seen, reduced = [], trees.reduced
+    monkeypatch.setattr(trees, "reduced", lambda rows, *a: (seen.append(rows.count()), reduced(rows, *a))[1])
+    return run(), set(seen)
+
+
+def test_histogram_trees_read_distinct_features(equal_rows, monkeypatch):
+    x, y, rows = equal_rows
+    (start, one), seen = read_by(monkeypatch, lambda: trees.boosted(rows, 2, 2, 0.5, 3))
+    assert seen == {40} and start == pytest.approx(y.mean())
+    now = np.full(len(y), start)
+    for root in one.roots:  # leaves of both trees on the rows as they are
+        node = one.route(x, np.array([root]))[:, 0]
+        for n in set(node.tolist()):
+            own = node == n
+            assert one.weight[n] == own.sum() and one.value[n] == pytest.approx((y - now)[own].sum() / (own.sum() + 1))
+        now = now + 0.5 * one.value[node]
+
+
+def test_randomised_trees_read_equal_rows_once_with_their_weights(equal_rows, monkeypatch):
+    x, y, rows = equal_rows
+    distinct = rows.select("x", "y").distinct().count()
+    grown, seen = read_by(monkeypatch, lambda: trees.randomised(rows, 2, 6, 2, max_depth=3, seed=4))
+    assert distinct < len(y) and seen == {distinct}
+    found = rows.collect()
+    x, y, h = np.array([r.x for r in found]), np.array([r.y for r in found]), np.array([r.h for r in found], np.int64).view(np.uint64)
+    weight = trees.drawn_weights(h, np.arange(6), 4)
+    node = grown.route(x)
+    for tree in range(6):
+        for n in set(node[:, tree].tolist()):
+            w = weight[node[:, tree] == n, tree]
+            if w.sum():
+                assert grown.weight[n] == w.sum() and grown.value[n] == pytest.approx((w * y[node[:, tree] == n]).sum() / w.sum())
+
+
+def test_drawn_weights_are_the_counts_of_their_chances():
+    h = np.random.default_rng(2).integers(0, 1 << 63, 3000).astype(np.uint64)
+    u = trees.uniform(9, np.arange(70)[None, :], h[:, None])
+    assert (trees.drawn_weights(h, np.arange(70), 9) == sum((u >= c).astype(float) for c in trees._POISSON)).all()
+
+
+def test_all_fits_read_rows_dealt_over_the_cores(spark, monkeypatch):
+    df = spark.range(400).selectExpr("cast(id % 7 as double) a", "cast(id as double) y").coalesce(1)
+
+    class Counting(models.LinearRegression):
+        def _fit(self, dataset):
+            parts.append(dataset.rdd.getNumPartitions())
+            return super()._fit(dataset)
+
+    parts: list[int] = []
+    models.fit_all(df, ["a"], "y", {"linear": Counting(labelCol="y")})
+    assert parts == [spark.sparkContext.defaultParallelism]
