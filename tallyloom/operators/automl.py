@@ -36,6 +36,25 @@ FOLD = "__fold"
 FOLD_SALT = 1009  # draws of the folds are independent of the draws of a split
 
 
+#: Rows that are worth a task of their own: a fit hands out its tasks again for every step.
+TASK_ROWS = 4096
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Cached, evenly over as many partitions as the rows need, and as many as there are cores if they need more."""
+    df = df.persist()
+    n = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    now, need = df.rdd.getNumPartitions(), max(1, -(-n // TASK_ROWS))
+    parts = need if need < cores else max(cores, min(now, need))
+    if parts == now:
+        return df
+    out = df.repartition(parts).persist()
+    out.count()
+    df.unpersist()
+    return out
+
+
 @dataclass
 class Candidate:
     """A named estimator; its output columns carry the name, so that models can be chained."""
@@ -130,7 +149,7 @@ def search(
     is always fitted.
     """
     stages = prepare(train, features)
-    data = _folded(stages.transform(train), key, folds).select(key, "features", label, FOLD).persist()
+    data = dealt(_folded(stages.transform(train), key, folds).select(key, "features", label, FOLD))
     start, result, parts = time.time(), Search({}, []), {}
     try:
         for c in wanted if wanted is not None else candidates(len(features), label):
@@ -172,8 +191,10 @@ def _cross_validate(
     """``(model on all rows, models per held-out fold, mean AUC)`` for every setting.
 
     All fits are independent jobs; a few are submitted at the same time, so the
-    executors stay busy while single fits wait for their slowest task.
+    executors stay busy while single fits wait for their slowest task. Rows in few
+    partitions leave room for more fits: as many as the cores take tasks of.
     """
+    parallel = max(parallel, data.sparkSession.sparkContext.defaultParallelism // max(1, data.rdd.getNumPartitions()))
     jobs = [(i, f) for i in range(len(settings)) for f in [*([None] if whole else []), *range(folds)]]
 
     def fit(job):
@@ -252,7 +273,7 @@ def network_grid(
 ) -> tuple[PipelineModel, list[tuple[str, int, float]]]:
     """Network size x epochs, cross-validated. Returns the best model and the sorted grid."""
     stages = prepare(train, features)
-    data = _folded(stages.transform(train), key, folds).select("features", label, FOLD).persist()
+    data = dealt(_folded(stages.transform(train), key, folds).select("features", label, FOLD))
     base = network("DeepLearning_grid", len(features), label)
     sizes = [[len(features), *h, 2] for h in hidden]
     layers, rounds = base.estimator.layers, base.estimator.maxIter

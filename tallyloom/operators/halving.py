@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import hash_uniform
-from .automl import FOLD, Candidate, _cross_validate, _folded, columns_of, network, prepare
+from .automl import FOLD, Candidate, _cross_validate, _folded, columns_of, dealt, network, prepare
 
 FAMILIES = ("GLM", "DRF", "GBM", "DeepLearning")
 BOARD = "model_id string, family string, settings string, rung int, n_rows long, cv_auc double, kept boolean"
@@ -78,15 +78,16 @@ def search(
     ``keep`` is the factor by which settings become fewer and rows more from rung to rung.
     """
     stages = prepare(train, features)
-    data = _folded(stages.transform(train), key, folds).select(key, "features", label, FOLD).persist()
+    data = dealt(_folded(stages.transform(train), key, folds).select(key, "features", label, FOLD))
     try:
         left = drawn(len(features), label, count, seed)
         rows: list[tuple] = []
         for rung, share in enumerate(shares(rungs, keep)):
-            part = sample(data, key, share, seed).persist()
+            part = dealt(sample(data, key, share, seed)) if share < 1 else data
             n = part.count()
             found = _cross_validate(part, [(c, {}) for c, _, _ in left], label, folds, parallel, whole=False)
-            part.unpersist()
+            if part is not data:
+                part.unpersist()
             scored = sorted(zip(left, found), key=lambda e: (-e[1][2], e[0][0].model_id))
             most = max(1, len(left) // keep) if rung < rungs - 1 else 1
             rows += [(c.model_id, family, str(settings), rung, n, float(auc), i < most) for i, ((c, family, settings), (_, _, auc)) in enumerate(scored)]
