@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import cluster, models, reshape, trees
+from tallyloom.operators import automl, cluster, halving, models, reshape, trees
 from tallyloom.plans.relational import daily_returns
 
 
@@ -83,3 +83,20 @@ def test_all_fits_read_rows_dealt_over_the_cores(spark, monkeypatch):
     parts: list[int] = []
     models.fit_all(df, ["a"], "y", {"linear": Counting(labelCol="y")})
     assert parts == [spark.sparkContext.defaultParallelism]
+
+
+def test_samples_lie_in_as_few_partitions_as_rows_need(spark, monkeypatch):
+    df = spark.range(600).selectExpr("id", "cast(id % 7 as double) a", "cast(id % 7 + id % 2 > 3 as double) label").repartition(13)
+    found, crossed = [], halving._cross_validate
+    monkeypatch.setattr(halving, "_cross_validate", lambda data, *a, **k: (found.append(data.rdd.getNumPartitions()), crossed(data, *a, **k))[1])
+    _, rows = halving.search(df, "id", ["a"], "label", count=2, rungs=2)
+    assert found == [1, 1] and len(rows) == 3
+
+
+@pytest.mark.parametrize("rows, before, after", [(100, 20, 10), (100, 3, 8), (1000, 20, 20), (30, 9, 3), (0, 2, 1)])
+def test_dealt_rows_are_all_there_and_even(spark, monkeypatch, rows, before, after):
+    monkeypatch.setattr(automl, "TASK_ROWS", 10)
+    out = automl.dealt(spark.range(rows).repartition(before))
+    assert out.is_cached and sorted(r.id for r in out.collect()) == list(range(rows))
+    assert out.rdd.getNumPartitions() == after
+    out.unpersist()
