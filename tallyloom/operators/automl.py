@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import kept
+from . import networks
 from .evaluate import leaderboard
 from .split import folds as with_folds
 
@@ -271,21 +272,42 @@ def network_grid(
     hidden: Sequence[Sequence[int]] = ((10, 10, 10), (50, 20, 10), (20, 20, 20)),
     epochs: Sequence[int] = (10, 50, 100), folds: int = 5, parallel: int = 6,
 ) -> tuple[PipelineModel, list[tuple[str, int, float]]]:
-    """Network size x epochs, cross-validated. Returns the best model and the sorted grid."""
+    """Network size x epochs, cross-validated. Returns the best model and the sorted grid.
+
+    All sizes and folds are trained in common passes, and the longest fit of a size hands out the shorter ones.
+    """
     stages = prepare(train, features)
     data = dealt(_folded(stages.transform(train), key, folds).select("features", label, FOLD))
     base = network("DeepLearning_grid", len(features), label)
     sizes = [[len(features), *h, 2] for h in hidden]
     layers, rounds = base.estimator.layers, base.estimator.maxIter
     grid = ParamGridBuilder().addGrid(layers, sizes).addGrid(rounds, list(epochs)).build()
+    spark = data.sparkSession
+    passed = networks.rows_of(data, label, FOLD).persist()
+    judge = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=base.estimator.getRawPredictionCol())
     try:
-        found = _cross_validate(data, [(base, params) for params in grid], label, folds, parallel, whole=False)
+        wanted = []
+        for size in sizes:
+            start = networks.model_with(spark, base.estimator.copy({layers: size})).weights.toArray()
+            wanted += [(size, f, start, epochs) for f in range(folds)]
+        fitted = networks.fit_all(passed, wanted)
+
+        def held_out(job):
+            params, f = job
+            weights = fitted[sizes.index(params[layers]) * folds + f][params[rounds]]
+            model = networks.model_with(spark, base.estimator.copy(params), weights)
+            return judge.evaluate(model.transform(data.filter(F.col(FOLD) == f)))
+
+        jobs = [(params, f) for params in grid for f in range(folds)]
+        with ThreadPool(max(1, min(parallel, len(jobs)))) as pool:
+            areas = pool.map(inheritable_thread_target(spark)(held_out), jobs, chunksize=1)
         rows = [
-            (str(params[layers][1:-1]), int(params[rounds]), float(auc), i)
-            for i, (params, (_, _, auc)) in enumerate(zip(grid, found))
+            (str(params[layers][1:-1]), int(params[rounds]), sum(areas[i * folds : (i + 1) * folds]) / folds, i)
+            for i, params in enumerate(grid)
         ]
         rows.sort(key=lambda r: (-r[2], r[0], r[1]))
         best = base.estimator.fit(data, grid[rows[0][3]])
     finally:
+        passed.unpersist()
         data.unpersist()
     return PipelineModel([*stages.stages, best]), [r[:3] for r in rows]
