@@ -39,14 +39,16 @@ FOLD_SALT = 1009  # draws of the folds are independent of the draws of a split
 
 #: Rows that are worth a task of their own: a fit hands out its tasks again for every step.
 TASK_ROWS = 4096
+#: The same where many fits run at a time: their steps are many and short, and other fits keep the cores busy.
+SHARED_TASK_ROWS = 1 << 16
 
 
-def dealt(df: DataFrame) -> DataFrame:
+def dealt(df: DataFrame, task_rows: int | None = None) -> DataFrame:
     """Cached, evenly over as many partitions as the rows need, and as many as there are cores if they need more."""
     df = df.persist()
     n = df.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    now, need = df.rdd.getNumPartitions(), max(1, -(-n // TASK_ROWS))
+    now, need = df.rdd.getNumPartitions(), max(1, -(-n // (task_rows or TASK_ROWS)))
     parts = need if need < cores else max(cores, min(now, need))
     if parts == now:
         return df
@@ -150,18 +152,21 @@ def search(
     is always fitted.
     """
     stages = prepare(train, features)
-    data = dealt(_folded(stages.transform(train), key, folds).select(key, "features", label, FOLD))
+    data = dealt(_folded(stages.transform(train), key, folds).select(key, "features", label, FOLD), SHARED_TASK_ROWS)
     start, result, parts = time.time(), Search({}, []), {}
+    wanted = list(wanted if wanted is not None else candidates(len(features), label))
     try:
-        for c in wanted if wanted is not None else candidates(len(features), label):
+        # Without a budget the fits of all candidates share the cores; with one, candidates come one after the other.
+        for some in [wanted] if budget_seconds is None and wanted else [[c] for c in wanted]:
             if result.models and budget_seconds is not None and time.time() - start > budget_seconds:
-                result.skipped.append(c.model_id)
+                result.skipped += [c.model_id for c in some]
                 continue
-            began = time.time()
-            whole, held, auc = _cross_validate(data, [(c, {})], label, folds, parallel)[0]
-            result.models[c.model_id] = PipelineModel([*stages.stages, whole])
-            result.cross_validation.append((c.model_id, auc, time.time() - began))
-            parts[c.model_id] = held
+            seconds = [0.0] * len(some)
+            fits = _cross_validate(data, [(c, {}) for c in some], label, folds, parallel, seconds=seconds)
+            for c, (whole, held, auc), took in zip(some, fits, seconds):
+                result.models[c.model_id] = PipelineModel([*stages.stages, whole])
+                result.cross_validation.append((c.model_id, auc, took))
+                parts[c.model_id] = held
         if stack and len(parts) > 1:
             began = time.time()
             meta, auc = _stack(data, parts, label, folds)
@@ -187,9 +192,11 @@ STACKED = "StackedEnsemble_AllModels"
 
 
 def _cross_validate(
-    data: DataFrame, settings: Sequence[tuple[Candidate, dict]], label: str, folds: int, parallel: int, whole: bool = True
+    data: DataFrame, settings: Sequence[tuple[Candidate, dict]], label: str, folds: int, parallel: int, whole: bool = True,
+    seconds: list[float] | None = None,
 ) -> list[tuple]:
-    """``(model on all rows, models per held-out fold, mean AUC)`` for every setting.
+    """``(model on all rows, models per held-out fold, mean AUC)`` for every setting; ``seconds`` gets the time from
+    the start of its first fit to the end of its last.
 
     All fits are independent jobs; a few are submitted at the same time, so the
     executors stay busy while single fits wait for their slowest task. Rows in few
@@ -198,6 +205,10 @@ def _cross_validate(
     parallel = max(parallel, data.sparkSession.sparkContext.defaultParallelism // max(1, data.rdd.getNumPartitions()))
     jobs = [(i, f) for i in range(len(settings)) for f in [*([None] if whole else []), *range(folds)]]
 
+    def timed(job):
+        began = time.time()
+        return fit(job), began, time.time()
+
     def fit(job):
         i, f = job
         c, params = settings[i]
@@ -209,8 +220,11 @@ def _cross_validate(
         return i, f, model, judge.evaluate(model.transform(data.filter(F.col(FOLD) == f)))
 
     with ThreadPool(max(1, min(parallel, len(jobs)))) as pool:
-        done = pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs, chunksize=1)
-    out = []
+        done = pool.map(inheritable_thread_target(data.sparkSession)(timed), jobs, chunksize=1)
+    for i in range(len(settings) if seconds is not None else 0):
+        spans = [(began, ended) for (j, *_), began, ended in done if j == i]
+        seconds[i] = max(e for _, e in spans) - min(b for b, _ in spans)
+    done, out = [d for d, *_ in done], []
     for i in range(len(settings)):
         mine = {f: (model, auc) for j, f, model, auc in done if j == i}
         held = [mine[f][0] for f in range(folds)]

@@ -100,3 +100,23 @@ def test_dealt_rows_are_all_there_and_even(spark, monkeypatch, rows, before, aft
     assert out.is_cached and sorted(r.id for r in out.collect()) == list(range(rows))
     assert out.rdd.getNumPartitions() == after
     out.unpersist()
+
+
+def test_fits_of_all_candidates_share_the_cores_unless_time_is_short(spark, monkeypatch):
+    df = spark.range(600).selectExpr("id", "cast(id % 7 as double) a", "cast(id % 7 + id % 2 > 3 as double) label").repartition(13)
+    seen, crossed = [], automl._cross_validate
+
+    def spied(data, settings, *a, **k):
+        seen.append((data.rdd.getNumPartitions(), [c.model_id for c, _ in settings]))
+        return crossed(data, settings, *a, **k)
+
+    def found(**k):
+        wanted = [automl.Candidate(n, automl.LogisticRegression(labelCol="label", regParam=r, **automl.columns_of(n))) for n, r in (("A", 0.1), ("B", 0.2))]
+        return automl.search(df, "id", ["a"], "label", folds=2, wanted=wanted, stack=False, **k)
+
+    monkeypatch.setattr(automl, "_cross_validate", spied)
+    monkeypatch.setattr(automl, "TASK_ROWS", 50)
+    together, one_by_one, short = found(), found(budget_seconds=1e6), found(budget_seconds=0)
+    assert seen == [(1, ["A", "B"]), (1, ["A"]), (1, ["B"]), (1, ["A"])] and short.skipped == ["B"]
+    assert [c[:2] for c in together.cross_validation] == [c[:2] for c in one_by_one.cross_validation]
+    assert all(s > 0 for *_, s in together.cross_validation)
